@@ -127,6 +127,10 @@ def export_judgements(judgements: DataFrame) -> DataFrame:
 
 
 def severity_score(errors: Column, tolerance: int = 5) -> Column:
-    """1 without errors, down to 0 at ``tolerance`` errors of the top severity."""
+    """1 without errors, down to 0 at ``tolerance`` errors of the top severity.
+
+    Null where the list of errors is: ``greatest`` alone would make that a 0.
+    """
     total = F.aggregate(errors, F.lit(0.0), lambda t, e: t + F.coalesce(e["severity"], F.lit(0.0)))
-    return F.greatest(F.lit(0.0), 1 - total / F.lit(float(SEVERITY_RANGE[1] * tolerance)))
+    score = F.greatest(F.lit(0.0), 1 - total / F.lit(float(SEVERITY_RANGE[1] * tolerance)))
+    return F.when(errors.isNotNull(), score)

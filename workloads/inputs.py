@@ -23,6 +23,10 @@ NAMES = ["Mistranslation", "Grammar", "Unintelligible ", "Unintelligible", "Wron
          "Date Format"]
 
 
+FIELDS = ("source_chunk", "target_chunk", "reference_chunk", "error_type", "severity", "explanation")
+FIELD_TYPES = ("string", "string", "string", "string", "bigint", "string")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
@@ -94,7 +98,10 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = seg + sysno
     one = F.array(_error(seg + sysno * 5, a % 13))
     two = F.array(_error(seg * 3 + sysno, a % 11), _error(a, seg % 11))
-    partial = F.array(F.struct(F.lit("Grammar").alias("error_type")))
+    # null fields are left out of the text: the second error lacks all but its type
+    lone = F.struct(*[(F.lit("Grammar") if f == "error_type" else F.lit(None).cast(t)).alias(f)
+                      for f, t in zip(FIELDS, FIELD_TYPES)])
+    partial = F.array(_error(a, seg % 11), lone)
     score = F.when(seg % 17 == 0, F.lit(1.5)).otherwise((seg * 3 + sysno) % 10 / F.lit(10.0))
 
     def reply(errors: Column) -> Column:
@@ -108,10 +115,9 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _closeness(a: Column, b: Column) -> Column:
-    """Shorter length over longer, null where either is empty."""
-    longer = F.greatest(F.length(a), F.length(b))
-    return F.when(F.least(F.length(a), F.length(b)) > 0,
-                  F.least(F.length(a), F.length(b)).cast("double") / longer)
+    """Shorter length over longer, null where either is empty or missing."""
+    shorter, longer = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
+    return F.when(a.isNotNull() & b.isNotNull() & (shorter > 0), shorter.cast("double") / longer)
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:

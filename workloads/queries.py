@@ -35,6 +35,11 @@ def _rounded(df, *columns):
     return df.withColumns({c: F.round(F.col(c), 6) for c in columns})
 
 
+def _round_where(df, condition, *columns):
+    """Round means only; a row's own score is exact in both engines."""
+    return df.withColumns({c: F.when(condition, F.round(F.col(c), 6)).otherwise(F.col(c)) for c in columns})
+
+
 def _sides(spark, d):
     lines = i.lines(spark, d)
     return [lines.where(F.col("corpus") == c) for c in ("source", "reference")]
@@ -182,11 +187,12 @@ def score_table_wide(spark, d):
 
 def score_table_with_average(spark, d):
     whole = st.append_average(_table(spark, d, METRICS[0]), fill="")
-    return _rounded(whole, *st.suffix_columns(whole))
+    return _round_where(whole, F.col("seg_id").isNull(), *st.suffix_columns(whole))
 
 
 def score_series(spark, d):
-    return _rounded(st.score_series(i.scores(spark, d), with_average=True), "score")
+    series = st.score_series(i.scores(spark, d), with_average=True)
+    return _round_where(series, F.col("is_average"), "score")
 
 
 def model_comparison(spark, d):
