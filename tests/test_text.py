@@ -1,0 +1,86 @@
+import sys
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from verbamark.functions.text import (WHITESPACE, clean_text, count_marks, judge_prompt, number_text,
+                                      percent_text, split_lines, strip)
+from verbamark.sources.lines import lines_of, read_lines
+
+
+def texts(spark, values):
+    return spark.createDataFrame(list(enumerate(values)), "id int, t string")
+
+
+def apply(spark, values, function):
+    rows = texts(spark, values).select("id", function(F.col("t")).alias("v")).collect()
+    return [r.v for r in sorted(rows)]
+
+
+def readlines(path):
+    with open(path, encoding="utf-8-sig") as f:
+        return [line.strip() for line in f.readlines()]
+
+
+def test_whitespace_is_what_python_strips():
+    assert set(WHITESPACE) == {chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()}
+
+
+def test_strip_and_clean(spark):
+    values = ["  a b ", "　全角　", "\x85\t x ", "a\nb\r\nc\r", "", WHITESPACE, "​kept​", None]
+    python = [None if v is None else v.strip() for v in values]
+    assert apply(spark, values, strip) == python
+    cleaned = [None if v is None else v.replace("\n", " ").replace("\r", "").strip() for v in values]
+    assert apply(spark, values, clean_text) == cleaned
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="ab \n\r\t　", max_size=12), min_size=1, max_size=60))
+def test_split_lines_follows_universal_newlines(spark, values):
+    import io
+    expected = [[x.rstrip("\n") for x in io.StringIO(v, newline=None).readlines()] for v in values]
+    assert apply(spark, values, split_lines) == expected
+
+
+def test_lines_of_numbers_each_text_from_one(spark, sorted_rows):
+    df = lines_of(texts(spark, ["a\n\n b ", "", "c\r\nd\n"]), "t", "id")
+    assert sorted_rows(df) == [(0, 1, "a"), (0, 2, ""), (0, 3, "b"), (2, 1, "c"), (2, 2, "d")]
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("split_bytes", [64, 1 << 20])
+def test_files_are_numbered_across_splits(spark, tmp_path, newline, split_bytes):
+    lines = [f"　第{k}行 line {k} " if k % 7 else "" for k in range(400)]
+    first, second, lone = tmp_path / "a.txt", tmp_path / "b.txt", tmp_path / "c.txt"
+    first.write_bytes(newline.join(lines).encode())  # no final newline
+    second.write_bytes((newline.join(lines[:50]) + newline).encode())
+    lone.write_bytes(b"\xef\xbb\xbfmarked" + newline.encode() + b"plain")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        found = read_lines(spark, {"x": [str(first), str(second)], "y": str(lone)}).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for corpus, path in (("x", first), ("x", second), ("y", lone)):
+        mine = sorted((r.line_no, r.text) for r in found if r.file.endswith(path.name))
+        assert {r.corpus for r in found if r.file.endswith(path.name)} == {corpus}
+        assert mine == list(enumerate(readlines(path), 1))
+
+
+def test_prompt_prints_missing_texts(spark):
+    df = spark.createDataFrame([("s", None, "r")], "s string, t string, r string")
+    both = df.select(judge_prompt(F.col("s"), F.col("t"), F.col("r")).alias("p")).first().p
+    assert both == "原文: s;中文: nan;参考译文: r"
+    assert df.select(judge_prompt(F.col("s"), F.col("r")).alias("p")).first().p == "原文: s;中文: r;"
+
+
+def test_number_and_percent_text(spark):
+    df = spark.createDataFrame([(3.0,), (3.5,), (None,)], "v double")
+    assert [r[0] for r in df.select(number_text(F.col("v"), "None")).collect()] == ["3", "3.5", "None"]
+    assert spark.range(1).select(percent_text(F.lit(0.123))).first()[0] == "12.3%"
+
+
+def test_count_marks(spark):
+    assert apply(spark, ["a.b,c!", "", None], lambda c: count_marks(c, ".,;:!?")) == [3, 0, None]

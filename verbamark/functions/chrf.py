@@ -11,39 +11,37 @@ import pandas as pd
 ORDER = 6
 BETA = 2.0
 # pairs scored together, in characters: sorts stay in cache and memory bounded
-CHARS_AT_ONCE = 64_000
+CHARS_AT_ONCE = 32_000
 KEY_LIMIT = 1 << 62
 
 
-def _score(texts: list[str], references: list[str]) -> np.ndarray:
-    """Scores of pairs whose grams are counted together, by sorting.
+def _score(pairs: list[tuple[str, str]]) -> np.ndarray:
+    """Scores of ``(text, reference)`` pairs, whose grams are counted together by sorting.
 
     A gram's key starts with its pair's number, so that sorted keys lie pair
-    by pair, and ends with the side it is on.
+    by pair, and ends with its side, so that a gram's two sides lie together.
     """
-    n = len(texts)
-    bare = ["".join(t.split()) for pair in zip(texts, references) for t in pair]
+    n = len(pairs)
+    bare = [t for pair in pairs for t in pair]
     lengths = np.fromiter(map(len, bare), dtype=np.int64, count=2 * n)
     codes = np.frombuffer("".join(bare).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     alphabet, char = np.unique(codes, return_inverse=True)
-    n_chars = max(len(alphabet), 1)
     owner = np.repeat(np.arange(2 * n), lengths)
+    side = owner & 1
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters to the text's end
-    at = np.arange(len(codes))
-    key, limit = owner // 2, n
+    key, limit = owner >> 1, n
     precision, recall, orders = np.zeros(n), np.zeros(n), np.zeros(n)
-    for order in range(1, ORDER + 1):
-        fits = left[at] >= order
-        at, key = at[fits], key[fits]
-        if not len(at):
-            break
-        if limit * n_chars >= KEY_LIMIT:
+    for order in range(1, min(ORDER, lengths.max(initial=0)) + 1):
+        if limit * len(alphabet) >= KEY_LIMIT:
             known, key = np.unique(key, return_inverse=True)
             limit = len(known)
-        key, limit = key * n_chars + char[at + order - 1], limit * n_chars
-        shared = _shared(key * 2 + (owner[at] & 1), n, lengths, order)
+        # windows over two texts get a key as well, and are left out below
+        key = key[:len(char) - order + 1] * len(alphabet) + char[order - 1:]
+        limit *= len(alphabet)
+        inside = left[:len(key)] >= order
         grams = np.maximum(lengths - order + 1, 0)
         of_text, of_reference = grams[0::2], grams[1::2]
+        shared = _shared((key * 2 + side[:len(key)])[inside], of_text + of_reference)
         both = (of_text > 0) & (of_reference > 0)
         precision[both] += shared[both] / of_text[both]
         recall[both] += shared[both] / of_reference[both]
@@ -54,27 +52,32 @@ def _score(texts: list[str], references: list[str]) -> np.ndarray:
     return np.divide((1 + BETA**2) * p * r, weighted, out=np.zeros(n), where=weighted > 0)
 
 
-def _shared(keys: np.ndarray, n: int, lengths: np.ndarray, order: int) -> np.ndarray:
-    """Grams each pair has on both sides, repeats counted."""
-    keys = np.sort(keys)
-    first = np.flatnonzero(np.diff(keys >> 1, prepend=-1))
+def _shared(keys: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Grams each pair has on both sides, repeats counted; ``grams`` is how many keys it has."""
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([keys[:1] == keys[:1], keys[1:] != keys[:-1]]))
     size = np.diff(first, append=len(keys))
-    on_reference = np.add.reduceat(keys & 1, first)
-    shared = np.minimum(on_reference, size - on_reference)
-    grams = np.maximum(lengths - order + 1, 0)
-    pair = np.repeat(np.arange(n), grams[0::2] + grams[1::2])[first]
-    return np.bincount(pair, shared, minlength=n)
+    distinct = keys[first]
+    met = np.flatnonzero((distinct[:-1] ^ 1) == distinct[1:])  # a gram of the text, then the reference's
+    pair = np.searchsorted(np.cumsum(grams), first[met], side="right")
+    return np.bincount(pair, np.minimum(size[met], size[met + 1]), minlength=len(grams))
+
+
+def _bare(texts: pd.Series) -> list[str]:
+    return ["".join(t.split()) for t in texts]
 
 
 def chrf(texts: pd.Series, references: pd.Series) -> pd.Series:
     """Score 0..1 per pair, whitespace ignored; null where a side is null."""
     known = (texts.notna() & references.notna()).to_numpy()
-    scores = np.full(len(texts), np.nan)
-    at = np.flatnonzero(known)
-    mine, theirs = texts.to_numpy()[at], references.to_numpy()[at]
-    size = np.cumsum([len(a) + len(b) for a, b in zip(mine, theirs)])
-    chunk = size // CHARS_AT_ONCE if len(at) else size
-    for c in np.unique(chunk):
-        rows = np.flatnonzero(chunk == c)
-        scores[at[rows]] = _score(list(mine[rows]), list(theirs[rows]))
-    return pd.Series(scores, index=texts.index, dtype="Float64").mask(~known)
+    pairs = list(zip(_bare(texts[known]), _bare(references[known])))
+    # equal texts share every gram, so only the others need counting
+    scores = np.array([float(t == r != "") for t, r in pairs])
+    rest = np.array([k for k, (t, r) in enumerate(pairs) if t != r], dtype=np.int64)
+    chunk = np.cumsum([len(pairs[k][0]) + len(pairs[k][1]) for k in rest]) // CHARS_AT_ONCE
+    for rows in np.split(rest, np.flatnonzero(np.diff(chunk)) + 1):
+        if len(rows):
+            scores[rows] = _score([pairs[k] for k in rows])
+    whole = np.full(len(texts), np.nan)
+    whole[known] = scores
+    return pd.Series(whole, index=texts.index, dtype="Float64").mask(~known)

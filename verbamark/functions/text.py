@@ -26,7 +26,8 @@ def strip(text: Column) -> Column:
 
 def clean_text(text: Column) -> Column:
     """Line feeds to spaces, carriage returns away, then strip."""
-    return strip(F.translate(text, "\n\r", " "))
+    # replace skips a text without a hit, while translate looks up every character
+    return strip(F.replace(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit("")))
 
 
 def split_lines(text: Column) -> Column:

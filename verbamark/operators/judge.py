@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verbamark.functions.text import clean_text, judge_prompt, number_text, strip
+from verbamark.functions.text import WHITESPACE, clean_text, judge_prompt, number_text
 from verbamark.schemas import ERROR, SCORE_RANGE, SEVERITY_RANGE, TOOL_CALLS
 
 # a report without one of these is void; only the severity may be absent
@@ -30,7 +30,7 @@ def first_report(replies: DataFrame) -> DataFrame:
     ``reply`` tells an answer that is no list (``garbage``) from an empty list
     (``empty``) and from none at all (``missing``).
     """
-    is_list = F.startswith(strip(F.col("tool_calls")), F.lit("["))
+    is_list = F.startswith(F.ltrim(F.col("tool_calls"), F.lit(WHITESPACE)), F.lit("["))
     calls = F.when(is_list, F.from_json("tool_calls", TOOL_CALLS))
     # generated rather than projected: a filter on what is read from the calls
     # would otherwise be pushed below, and parse every reply once more
