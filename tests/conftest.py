@@ -6,7 +6,8 @@ from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
+# workers import the callables that test modules define
+os.environ["PYTHONPATH"] = os.pathsep.join([os.path.join(ROOT, "tests"), os.environ.get("PYTHONPATH", "")])
 
 from verbamark.session import configure  # noqa: E402
 

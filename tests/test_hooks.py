@@ -1,0 +1,160 @@
+import os
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from verbamark.functions.chrf import chrf
+from verbamark.operators.breakdown import count_errors, error_names
+from verbamark.operators.candidates import resolve_attempts
+from verbamark.operators.hooks import apply_judge, apply_scorer, apply_translators
+from verbamark.operators.judge import parse_reports
+from verbamark.plans import metrics, mqm, report, translation
+from verbamark.plans.timing import StageTimes
+from verbamark.sources import tables
+
+REPORT = ('[{"name": "r", "args": {"errors": [{"source_chunk": "s", "target_chunk": "t", "reference_chunk": "r",'
+          ' "error_type": "Grammar", "severity": 2, "explanation": "e"}], "scores": 0.75}}]')
+
+
+def segments(spark, n=12):
+    return spark.createDataFrame([(k, f"text {k}", f"ref {k}") for k in range(n)],
+                                 "seg_id bigint, source string, reference string")
+
+
+def fails_on_three(text, slot):
+    if text == "text 3":
+        raise ConnectionError("no route")
+    return "Error" if text == "text 4" else None if text == "text 5" else text.upper()
+
+
+def test_failures_are_retried_and_kept(spark):
+    attempts = apply_translators(segments(spark), {"good": lambda t, s: t, "bad": fails_on_three}, tasks=3)
+    bad = attempts.where("system = 'bad'")
+    tried = {r.seg_id: r.n for r in bad.groupBy("seg_id").agg(F.count("*").alias("n")).collect()}
+    assert tried == {**{k: 1 for k in range(12)}, 3: 3, 4: 3}
+    settled = {(r.seg_id, r.system): r.status for r in resolve_attempts(attempts).collect()}
+    assert len(settled) == 24 and {k for k, v in settled.items() if v != "ok"} == {(3, "bad"), (4, "bad"), (5, "bad")}
+    assert settled[5, "bad"] == "missing" and settled[3, "bad"] == "error"
+    reasons = {r.error for r in bad.where("seg_id = 3").collect()}
+    assert reasons == {"ConnectionError: no route"}
+
+
+def test_success_ends_the_attempts(spark):
+    def third_time(text, slot):
+        return "done" if slot == 2 else "Error"
+    rows = apply_translators(segments(spark, 1), {"A": third_time}, slots=3).orderBy("attempt").collect()
+    assert [(r.attempt, r.text) for r in rows] == [(1, "Error"), (2, "Error"), (3, "done")]
+
+
+def test_translators_must_be_callable(spark):
+    with pytest.raises(TypeError, match="'A'"):
+        apply_translators(segments(spark), {"A": "name"})
+
+
+def prompts(spark, n=4):
+    return spark.createDataFrame([(k, "A", f"p{k}") for k in range(n)], "seg_id bigint, system string, prompt string")
+
+
+def test_judge_retries_empty_lists_and_named_errors_only(spark):
+    def judge(prompt, slot):
+        if prompt == "p0":
+            return []
+        if prompt == "p1":
+            raise RuntimeError("quota used up")
+        if prompt == "p2":
+            raise RuntimeError("broken")
+        return [{"args": {"errors": [], "scores": 1}}]
+
+    replies = apply_judge(prompts(spark), judge, retry_on=lambda e: "quota" in str(e))
+    found = [(r.tool_calls, r.calls, r.error) for r in replies.orderBy("seg_id").collect()]
+    assert found == [("[]", 3, None), (None, 3, "RuntimeError: quota used up"), (None, 1, "RuntimeError: broken"),
+                     ('[{"args": {"errors": [], "scores": 1}}]', 1, None)]
+    statuses = [r.status for r in parse_reports(replies).orderBy("seg_id").collect()]
+    assert statuses == ["empty", "missing", "missing", "ok"]
+
+
+def test_judge_moves_to_the_next_slot(spark):
+    def judge(prompt, slot):
+        if slot != 1:
+            raise RuntimeError("quota")
+        return REPORT
+
+    replies = apply_judge(prompts(spark, 3), judge, retry_on=lambda e: True, slots=3).orderBy("seg_id")
+    assert [r.calls for r in replies.collect()] == [2, 1, 3]
+
+
+def test_scorer_loads_once_per_task_and_slices(spark, tmp_path):
+    log = str(tmp_path / "loads")
+
+    def load():
+        with open(log, "a") as f:
+            f.write(f"{os.getpid()}\n")
+
+        def model(src, mt):
+            assert len(mt) <= 8
+            return pd.Series([float(len(mt))] * len(mt))
+        return model
+
+    df = spark.range(20).select(F.col("id").alias("seg_id"), F.lit("s").alias("src"), F.lit("m").alias("mt")).coalesce(1)
+    rows = apply_scorer(df, load, ("src", "mt"), batch_rows=8).collect()
+    assert sorted(r.score for r in rows) == [4.0] * 4 + [8.0] * 16
+    assert len(open(log).read().split()) == 1
+
+
+def test_scorer_may_return_missing(spark):
+    rows = apply_scorer(spark.range(3), lambda: lambda i: i.where(i != 1).astype("float"), ("id",)).collect()
+    assert [r.score for r in rows] == [0.0, None, 2.0]
+
+
+def test_whole_run(spark, tmp_path):
+    lines = [f"line {k}" for k in range(6)]
+    for name in ("src.txt", "ref.txt"):
+        (tmp_path / name).write_text("\n".join(lines))
+    from verbamark.sources.lines import read_lines
+    both = read_lines(spark, {"source": str(tmp_path / "src.txt"), "reference": str(tmp_path / "ref.txt")})
+    source, reference = (both.where(F.col("corpus") == c) for c in ("source", "reference"))
+
+    calls = tmp_path / "calls"
+
+    def paid(text, slot):
+        with open(calls, "a") as f:
+            f.write("x")
+        return "Error" if text == "line 2" else text
+
+    times, systems = StageTimes(), ["A", "B"]
+    with times.measure("translation"):
+        candidates, attempts = translation.translate_corpus(source, reference, {"A": paid, "B": paid})
+        store = str(tmp_path / "store")
+        translation.store_candidates(candidates, systems, store)
+    candidates.count(), attempts.count()
+    assert len(calls.read_text()) == 2 * (5 + 3)  # staged: nothing called twice
+
+    wide = tables.read_candidates(spark, f"{store}/Total", systems)
+    assert wide.count() == 6 and wide.where("A IS NULL").count() == 1
+    one = tables.read_system(spark, store, "B")
+    assert one.count() == 6
+    assert "PartitionFilters: [isnotnull(system" in one._jdf.queryExecution().toString()
+
+    judged = mqm.judge_candidates(candidates, lambda p, s: REPORT)
+    card = {r.system: r for r in mqm.mqm_scorecard(judged).collect()}
+    assert (card["A"].n_judged, card["A"].n_failed, card["A"].n_errors, card["A"].Fluency) == (6, 1, 5, 5)
+    assert card["A"].mean_score == pytest.approx(0.75 * 5 / 6)
+    mqm.store_mqm(wide, judged, systems, str(tmp_path / "results"))
+
+    scorers = {metrics.WITH_REFERENCE: (lambda: lambda src, mt, ref: chrf(mt, ref), True),
+               metrics.REFERENCE_FREE: (lambda: lambda src, mt: (src == mt).astype("float"), False)}
+    scores = metrics.score_candidates(candidates, scorers)
+    assert scores.count() == 20
+    metrics.store_metrics(wide, scores, systems, str(tmp_path / "results"))
+    table = tables.read_table(spark, str(tmp_path / "results"), metrics.WITH_REFERENCE)
+    assert table.count() == 7
+    assert table.where("source = 'Average'").first().A_score == 1.0
+    flat = tables.read_table(spark, str(tmp_path / "results"), "A")
+    assert flat.columns == ["seg_id", "source", "reference", "A", "error_type", "severity", "explanation", "score"]
+
+    charts = report.chart_tables(scores, judged)
+    assert charts["score_series"].count() == 24
+    assert charts["error_shares"].count() == 2
+    assert count_errors(error_names(judged)).count() == 2
+    assert [r.stage for r in times.table(spark).collect()] == ["translation"]
