@@ -17,13 +17,6 @@ MARKS = ".,;:!?"
 SHORTEST, LONGEST = 0.7, 1.3  # length bounds, as a share of the reference's
 
 
-def _error(source: Column, text: Column, reference: Column, name: str, severity: float, why: str) -> Column:
-    values = {"source_chunk": source, "target_chunk": F.coalesce(text, F.lit("")),
-              "reference_chunk": reference, "error_type": F.lit(name),
-              "severity": F.lit(float(severity)), "explanation": F.lit(why)}
-    return F.struct(*[values[f.name].cast(f.dataType).alias(f.name) for f in ERROR])
-
-
 def rule_errors(source: Column, text: Column, reference: Column) -> Column:
     """Errors a candidate shows against its source and reference."""
     missing = F.coalesce(strip(text), F.lit("")) == ""
@@ -39,11 +32,22 @@ def rule_errors(source: Column, text: Column, reference: Column) -> Column:
         ("Punctuation", 2, "punctuation count differs from the reference",
          ~missing & (count_marks(text, MARKS) != count_marks(reference, MARKS))),
         ("Character Encoding ", 7, "holds a replacement character",
-         ~missing & F.contains(text, F.lit("�"))),
+         ~missing & F.contains(text, F.lit("\ufffd"))),
     ]
-    found = [F.when(holds, _error(source, text, reference, name, severity, why))
-             for name, severity, why, holds in rules]
-    return F.filter(F.array(*found), lambda e: e.isNotNull())
+    # which rules hold, then their errors: concat is compiled together with the
+    # rules and shares their parts, while a filter over all errors is not
+    none = F.array().cast("array<int>")
+    held = F.concat(*[F.when(holds, F.array(F.lit(k))).otherwise(none) for k, (*_, holds) in enumerate(rules)])
+    facts = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(severity)).alias("severity"),
+                               F.lit(why).alias("why")) for name, severity, why, _ in rules])
+
+    def error(k: Column) -> Column:
+        fact = F.get(facts, k)
+        values = {"source_chunk": source, "target_chunk": F.coalesce(text, F.lit("")), "reference_chunk": reference,
+                  "error_type": fact["name"], "severity": fact["severity"], "explanation": fact["why"]}
+        return F.struct(*[values[f.name].alias(f.name) for f in ERROR])
+
+    return F.transform(held, error)
 
 
 def annotate(candidates: DataFrame, tolerance: int = 5) -> DataFrame:

@@ -55,13 +55,19 @@ def _cleaned(error: Column) -> Column:
         (clean_text(error[f.name]) if f.name in CLEANED else error[f.name]).alias(f.name) for f in ERROR])
 
 
-def parse_reports(replies: DataFrame, strict: bool = True) -> DataFrame:
+def _counted(error: Column) -> Column:
+    return F.struct(error["error_type"].alias("error_type"), error["severity"].alias("severity"))
+
+
+def parse_reports(replies: DataFrame, strict: bool = True, texts: bool = True) -> DataFrame:
     """Replies as ``(seg_id, system, status, errors, score)``.
 
     ``strict`` takes a report whole or not at all: one incomplete error or an
     absent score makes it ``void``. Otherwise incomplete errors are left out
     and an absent score stays null. Without a usable report ``errors`` and
-    ``score`` are null. Values out of range are kept as they came.
+    ``score`` are null. Values out of range are kept as they came. Without
+    ``texts`` the errors hold their type and severity only, which is all that
+    counts and averages read.
     """
     errors, score = F.col("report.errors"), F.col("report.scores")
     if strict:
@@ -76,7 +82,7 @@ def parse_reports(replies: DataFrame, strict: bool = True) -> DataFrame:
     ok = F.col("status") == "ok"
     return judged.select(
         "seg_id", "system", "status",
-        F.when(ok, F.transform(kept, _cleaned)).alias("errors"),
+        F.when(ok, F.transform(kept, _cleaned if texts else _counted)).alias("errors"),
         F.when(ok, score).alias("score"))
 
 
@@ -84,7 +90,8 @@ def with_defaults(judgements: DataFrame, on_failure: str = "zero") -> DataFrame:
     """No report counts as no errors and, unless ``on_failure='null'``, score 0."""
     if on_failure not in ("zero", "null"):
         raise ValueError(f"on_failure must be 'zero' or 'null', not {on_failure!r}")
-    filled = {"errors": F.coalesce("errors", _no_errors()),
+    none = F.array().cast(judgements.schema["errors"].dataType)
+    filled = {"errors": F.coalesce("errors", none),
               "status": F.coalesce("status", F.lit("missing"))}
     if on_failure == "zero":
         filled["score"] = F.coalesce("score", F.lit(0.0))

@@ -99,8 +99,8 @@ def judge_prompts(spark, d):
     return ju.judge_prompts(i.candidates(spark, d))
 
 
-def _judged(spark, d, strict=True):
-    return ju.parse_reports(i.replies(spark, d), strict)
+def _judged(spark, d, strict=True, texts=False):
+    return ju.parse_reports(i.replies(spark, d), strict, texts)
 
 
 def _names(spark, d):
@@ -109,7 +109,7 @@ def _names(spark, d):
 
 def parse_reports(spark, d):
     """One row per parsed error; reports without errors keep a row of nulls."""
-    judged = _judged(spark, d)
+    judged = _judged(spark, d, texts=True)
     return (judged.select("seg_id", "system", "status", "score", F.posexplode_outer("errors").alias("at", "e"))
             .select("seg_id", "system", "status", "score", "at", "e.*"))
 
@@ -132,7 +132,7 @@ def judged_defaults(spark, d):
 
 
 def judged_export(spark, d):
-    return ju.export_judgements(_judged(spark, d))
+    return ju.export_judgements(_judged(spark, d, texts=True))
 
 
 def error_breakdown(spark, d):
@@ -144,7 +144,7 @@ def error_breakdown_dense(spark, d):
 
 
 def error_breakdown_from_text(spark, d):
-    return bd.error_breakdown(bd.error_names_from_text(ju.export_judgements(_judged(spark, d))))
+    return bd.error_breakdown(bd.error_names_from_text(ju.export_judgements(_judged(spark, d, texts=True))))
 
 
 def error_breakdown_trimmed(spark, d):
