@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from verbamark.session import stage
+
 
 class AlignmentError(ValueError):
     """The two sides differ in their number of lines."""
@@ -18,12 +20,15 @@ def number_across(lines: DataFrame, unit: str = "doc_id", line: str = "line_no",
     number of a line in its text. Only ``(unit, count)`` rows are put in order,
     in ranges of ``span`` keys at a time; the running total over ranges then
     has one row per range. No task sees all lines, or all units, of a corpus.
+    The counts are staged, so that the texts are read once for them however
+    often the positions are used.
     """
     earlier = (Window.unboundedPreceding, -1)
     by_unit = Window.partitionBy(corpus, "range").orderBy(unit).rowsBetween(*earlier)
     by_range = Window.partitionBy(corpus).orderBy("range").rowsBetween(*earlier)
     counts = (lines.groupBy(corpus, unit).agg(F.count(F.lit(1)).alias("n"))
               .withColumn("range", F.floor(F.col(unit) / F.lit(span))))
+    counts = stage(counts, "line-counts")
     ranges = (counts.groupBy(corpus, "range").agg(F.sum("n").alias("n"))
               .select(corpus, "range",
                       F.coalesce(F.sum("n").over(by_range), F.lit(0)).alias("before_range")))

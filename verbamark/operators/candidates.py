@@ -68,13 +68,21 @@ def assign_slots(calls: DataFrame, position: Column, n_slots: int) -> DataFrame:
 
 
 def failure_report(attempts: DataFrame) -> DataFrame:
-    """Per system: candidates settled, missing and failed, and attempts in vain."""
+    """Per system: candidates settled, missing and failed, and attempts in vain.
+
+    Candidates are settled as in ``resolve_attempts``, here as one number per
+    candidate, so that no text is shuffled: twice the first attempt that did
+    not fail, plus one where its answer was null.
+    """
     is_failed = F.coalesce(F.col("text") == FAILURE_TEXT, F.lit(False))
-    vain = attempts.groupBy("system").agg(
-        F.count(F.lit(1)).alias("n_attempts"), F.count_if(is_failed).alias("n_failed_attempts"))
-    settled = resolve_attempts(attempts).groupBy("system").agg(
+    answer = F.col("attempt") * 2 + F.col("text").isNull().cast("int")
+    settled = attempts.groupBy("seg_id", "system").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(is_failed).alias("failed"),
+        F.min(F.when(~is_failed, answer)).alias("answer"))
+    is_missing = F.col("answer") % 2 == 1
+    return settled.groupBy("system").agg(
         F.count(F.lit(1)).alias("n_candidates"),
-        F.count_if(F.col("status") == "ok").alias("n_ok"),
-        F.count_if(F.col("status") == "missing").alias("n_missing"),
-        F.count_if(F.col("status") == "error").alias("n_error"))
-    return settled.join(vain, "system")
+        F.count_if(~is_missing).alias("n_ok"),
+        F.count_if(is_missing).alias("n_missing"),
+        F.count_if(F.col("answer").isNull()).alias("n_error"),
+        F.sum("n").alias("n_attempts"), F.sum("failed").alias("n_failed_attempts"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from verbamark.functions.stats import known
 from verbamark.operators.hooks import apply_scorer
-from verbamark.operators.scores import append_average, score_table, scoring_input
+from verbamark.operators.scores import score_table_with_average, scoring_input
 from verbamark.session import stage
 from verbamark.sources.tables import append_tables
 
@@ -53,4 +53,4 @@ def metric_scorecard(scores: DataFrame, metrics: Sequence[str] = METRICS) -> Dat
 def store_metrics(wide: DataFrame, scores: DataFrame, systems: Sequence[str], directory: str,
                   metrics: Sequence[str] = (WITH_REFERENCE, REFERENCE_FREE)) -> None:
     """Add each metric's score table, with its average row, to an existing store."""
-    append_tables({m: append_average(score_table(wide, scores, m, systems)) for m in metrics}, directory)
+    append_tables({m: score_table_with_average(wide, scores, m, systems) for m in metrics}, directory)

@@ -186,7 +186,7 @@ def score_table_wide(spark, d):
 
 
 def score_table_with_average(spark, d):
-    whole = st.append_average(_table(spark, d, METRICS[0]), fill="")
+    whole = st.score_table_with_average(i.wide(spark, d), i.scores(spark, d), METRICS[0], i.SYSTEMS, fill="")
     return _round_where(whole, F.col("seg_id").isNull(), *st.suffix_columns(whole))
 
 
