@@ -1,0 +1 @@
+"""Machine-translation evaluation as Spark DataFrame operations."""

@@ -22,6 +22,20 @@ def with_status(candidates: DataFrame) -> DataFrame:
     return candidates.withColumns({"status": status, "text": text})
 
 
+def scorable(candidates: DataFrame, score_failures: bool = False) -> DataFrame:
+    """Candidates with a text to judge or score.
+
+    ``score_failures`` takes all of them instead, a failed one with the failure
+    literal as if it were its translation.
+    """
+    if not score_failures:
+        return candidates.where(F.col("text").isNotNull())
+    if "status" not in candidates.columns:
+        return candidates
+    return candidates.withColumn(
+        "text", F.when(F.col("status") == "error", FAILURE_TEXT).otherwise(F.col("text")))
+
+
 def to_long(wide: DataFrame, systems: Sequence[str],
             keys: Sequence[str] = ("seg_id", "source", "reference")) -> DataFrame:
     """One row per segment and system; missing candidates are kept."""

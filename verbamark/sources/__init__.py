@@ -1,0 +1 @@
+"""Where lines and tables are read from and written to."""
