@@ -63,6 +63,12 @@ def test_null_chunk_and_absent_score_void_the_report(spark):
     assert [r.status for r in found] == ["void"] * 3
 
 
+def test_a_score_given_as_null_is_zero(spark):
+    found = parsed(spark, [call([error()], None)], [call([error()], "high")], [call([error()], 0)])
+    assert [(r.status, r.score, r.errors and len(r.errors)) for r in found] == [
+        ("ok", 0.0, 1), ("void", None, None), ("ok", 0.0, 1)]
+
+
 def test_severity_alone_is_optional_and_may_be_a_fraction(spark):
     r, = parsed(spark, [call([error(severity="absent"), error(severity=3.5)])])
     assert (r.status, [e.severity for e in r.errors]) == ("ok", [None, 3.5])

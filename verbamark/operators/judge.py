@@ -28,7 +28,7 @@ def first_report(replies: DataFrame) -> DataFrame:
     """The first tool call of each reply, later ones ignored.
 
     ``reply`` tells an answer that is no list (``garbage``) from an empty list
-    (``empty``) and from none at all (``missing``).
+    (``empty``) and from none at all (``missing``). A score given as null is 0.
     """
     is_list = F.startswith(F.ltrim(F.col("tool_calls"), F.lit(WHITESPACE)), F.lit("["))
     calls = F.when(is_list, F.from_json("tool_calls", TOOL_CALLS))
@@ -38,8 +38,11 @@ def first_report(replies: DataFrame) -> DataFrame:
                             F.inline_outer(F.array(F.struct(calls.alias("calls")))))
     reply = (F.when(F.col("tool_calls").isNull(), "missing").when(F.col("calls").isNull(), "garbage")
              .when(F.size("calls") == 0, "empty").otherwise("report"))
-    return parsed.select("seg_id", "system", reply.alias("reply"),
-                         F.get("calls", F.lit(0))["args"].alias("report"))
+    first = parsed.select("seg_id", "system", reply.alias("reply"), F.get("calls", F.lit(0))["args"].alias("args"))
+    given = F.col("args.scores")
+    score = F.when(F.is_variant_null(given), 0.0).otherwise(F.try_variant_get(given, "$", "double"))
+    report = F.struct(F.col("args.errors").alias("errors"), score.alias("scores"))
+    return first.select("seg_id", "system", "reply", F.when(F.col("args").isNotNull(), report).alias("report"))
 
 
 def _complete(error: Column) -> Column:

@@ -54,7 +54,9 @@ REPORT = T.StructType([
     T.StructField("scores", T.DoubleType()),
 ])
 
-TOOL_CALLS = T.ArrayType(T.StructType([T.StructField("args", REPORT)]))
+# as sent: a score given as null is told from one not given
+TOOL_CALLS = T.ArrayType(T.StructType([T.StructField("args", T.StructType([
+    REPORT["errors"], T.StructField("scores", T.VariantType())]))]))
 
 ATTEMPTS = T.StructType([
     T.StructField("seg_id", T.LongType()),
