@@ -22,15 +22,16 @@ def rule_errors(source: Column, text: Column, reference: Column) -> Column:
     missing = F.coalesce(strip(text), F.lit("")) == ""
     ratio = F.length(text) / F.length(reference)
     comparable = ~missing & (F.length(reference) > 0)
+    differs = ~missing & (text != reference)  # spares equal texts the patterns
     rules = [
         ("Missing Text", 10, "no text", missing),
         ("Untranslated", 9, "same as the source", ~missing & (text == source)),
         ("Omission", 6, "much shorter than the reference", comparable & (ratio < SHORTEST)),
         ("Addition", 4, "much longer than the reference", comparable & (ratio > LONGEST)),
         ("Number Format", 5, "numbers differ from the reference",
-         ~missing & (digit_runs(text) != digit_runs(reference))),
+         differs & (digit_runs(text) != digit_runs(reference))),
         ("Punctuation", 2, "punctuation count differs from the reference",
-         ~missing & (count_marks(text, MARKS) != count_marks(reference, MARKS))),
+         differs & (count_marks(text, MARKS) != count_marks(reference, MARKS))),
         ("Character Encoding ", 7, "holds a replacement character",
          ~missing & F.contains(text, F.lit("\ufffd"))),
     ]
