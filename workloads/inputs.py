@@ -106,7 +106,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def reply(errors: Column) -> Column:
         args = F.struct(errors.alias("errors"), score.alias("scores"))
-        return F.to_json(F.array(F.struct(F.lit("TranslationErrorReport").alias("name"), args.alias("args"))))
+        return F.to_json(F.array(F.struct(F.lit("ErrorReport").alias("name"), args.alias("args"))))
 
     text = (F.when((seg * 7 + sysno) % 23 == 0, "garbage").when(a % 29 == 0, "[]")
             .when(a % 4 == 0, reply(F.array().cast("array<string>"))).when(a % 4 == 1, reply(one))

@@ -105,7 +105,7 @@ def err(key: str, severity: str) -> str:
 
 
 def reply(errors: str) -> str:
-    return f"""CAST(json_array(json_object('name', 'TranslationErrorReport',
+    return f"""CAST(json_array(json_object('name', 'ErrorReport',
   'args', json_object('errors', {errors}, 'scores', s))) AS VARCHAR)"""
 
 
