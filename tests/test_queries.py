@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from workloads.oracle import ORACLES
+from workloads.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -29,15 +31,15 @@ def in_order(rows):
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows_as_sql(spark, duck, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     found = in_order(tuple(r[c] for c in columns) for r in df.collect())
-    cursor = duck.execute(contract.oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]
     assert sorted(names) == columns
     expected = in_order(tuple(r[names.index(c)] for c in columns) for r in cursor.fetchall())
@@ -49,9 +51,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_plans_stay_in_the_jvm_and_free_of_products(spark, name):
-    plan = plan_of(contract.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert ("ArrowEvalPython" in plan) == (name == "score_with_reference")
     assert "BatchEvalPython" not in plan and "MapInPandas" not in plan
@@ -59,7 +61,7 @@ def test_plans_stay_in_the_jvm_and_free_of_products(spark, name):
 
 def test_scans_read_only_what_is_used(spark):
     for name in ("clean_text", "parse_reports", "scoring_input_ref"):
-        plan = plan_of(contract.queries()[name](spark, SF_DIR))
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
         assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 

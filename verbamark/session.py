@@ -53,9 +53,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Used where a re-run would repeat paid calls or could number rows anew, and
-    where the later plan should know a small table's true size.
+    where the later plan should know a small table's true size. ``discard``
+    removes the table when nothing reads it any more.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables; a frame that was not staged is passed over."""
+    for df in staged:
+        if path := getattr(df, "staged_path", None):
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
