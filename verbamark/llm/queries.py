@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verbamark.llm.language import folds, identify
 from verbamark.llm.simhash import simhash_components
 
 
@@ -12,12 +13,21 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op2_language(spark, d):
+    documents = _table(spark, d, "documents").select("doc_id", "text", "lang")
+    fold = folds()
+    found = identify(documents.select("doc_id", "text"), documents.where(fold > 1), documents.where(fold == 1))
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score",
+                        "rejected", "entropy")
+
+
 def op7_simhash(spark, d):
     found = simhash_components(_table(spark, d, "documents"), width=4, threshold=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op2_language": op2_language,
     "op7_simhash": op7_simhash,
 }
 
