@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbamark.llm.language import folds, identify
+from verbamark.llm.pii import pseudonymise
 from verbamark.llm.simhash import simhash_components
 
 
+DEMO_KEY = "a key for the given tables, where nothing is secret"
+
+
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_pii(spark, d):
+    return pseudonymise(_table(spark, d, "documents"), DEMO_KEY)
+
+
 def op2_language(spark, d):
     documents = _table(spark, d, "documents").select("doc_id", "text", "lang")
     fold = folds()
@@ -27,6 +35,7 @@ def op7_simhash(spark, d):
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_language": op2_language,
     "op7_simhash": op7_simhash,
 }
