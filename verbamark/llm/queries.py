@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbamark.llm.language import folds, identify
+from verbamark.llm.mixing import mix
+from verbamark.llm.packing import pack
 from verbamark.llm.pii import pseudonymise
 from verbamark.llm.simhash import simhash_components
 
@@ -29,15 +32,67 @@ def op2_language(spark, d):
                         "rejected", "entropy")
 
 
+def op4_mixing(spark, d):
+    mixed = mix(_table(spark, d, "documents").select("doc_id", "text", "source", "lang"))
+    return mixed.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
+                        F.round("_p", 6).alias("probability"), F.col("_selected").alias("selected"))
+
+
+def op5_packing(spark, d):
+    return pack(_table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_simhash(spark, d):
     found = simhash_components(_table(spark, d, "documents"), width=4, threshold=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def mixing_sql(power: float = 0.5, budget: float = 0.5, seed: str = "mix", rounds: int = 20, steps: int = 12) -> str:
+    """Raking and calibration unrolled, with more rounds than the given tables need."""
+    key = "source, lang, topic"
+    parts = [
+        "words AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), "
+        "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z]{5,}')) AS w FROM documents)",
+        "ranked AS (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, w) AS k "
+        "FROM words GROUP BY doc_id, w)",
+        "keyed AS (SELECT d.doc_id, d.source, d.lang, coalesce('topic' || ((16 * "
+        "(strpos('0123456789abcdef', substr(md5(w), 1, 1)) - 1) + strpos('0123456789abcdef', substr(md5(w), 2, 1)) - 1) % 8), "
+        "'none') AS topic, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens "
+        "FROM documents d LEFT JOIN ranked r ON r.doc_id = d.doc_id AND k = 1)",
+        f"cells AS (SELECT coalesce(source, '') AS source, coalesce(lang, '') AS lang, topic, sum(tokens) AS tokens "
+        f"FROM keyed GROUP BY 1, 2, 3)",
+        f"w0 AS MATERIALIZED (SELECT *, tokens / (SELECT sum(tokens) FROM cells)::DOUBLE AS w FROM cells)",
+    ]
+    for m in ("source", "lang", "topic"):
+        parts.append(f"goal_{m} AS MATERIALIZED (SELECT {m}, s / sum(s) OVER () AS share FROM (SELECT {m}, "
+                     f"pow(sum(tokens)::DOUBLE, {power}) AS s FROM cells GROUP BY {m}))")
+    n = 0
+    for _ in range(rounds):
+        for m in ("source", "lang", "topic"):
+            parts.append(f"w{n + 1} AS MATERIALIZED (SELECT {key}, tokens, CASE WHEN sum(w) OVER (PARTITION BY {m}) > 0 "
+                         f"THEN w * share / sum(w) OVER (PARTITION BY {m}) ELSE 0 END AS w FROM w{n} JOIN goal_{m} USING ({m}))")
+            n += 1
+    parts.append(f"rated AS MATERIALIZED (SELECT {key}, tokens, w, CASE WHEN tokens > 0 THEN w / tokens ELSE 0 END AS rate FROM w{n})")
+    parts.append(f"s0 AS (SELECT {budget} * sum(tokens) / sum(w) AS scale FROM rated)")
+    for k in range(steps):
+        parts.append(f"s{k + 1} AS MATERIALIZED (SELECT coalesce(({budget} * sum(tokens) - coalesce(sum(tokens) FILTER (rate * scale >= 1), 0)) "
+                     f"/ sum(w) FILTER (rate * scale < 1), any_value(scale)) AS scale FROM rated, s{k})")
+    parts.append(f"drawn AS (SELECT {key}, least(1, rate * scale) AS p FROM rated, s{steps})")
+    unit = " + ".join(f"(strpos('0123456789abcdef', substr(md5('{seed}|' || doc_id), {k}, 1)) - 1) * {16 ** (13 - k)}::DOUBLE"
+                      for k in range(1, 14))
+    return (f"WITH {', '.join(parts)} SELECT doc_id, k.source, k.lang, k.topic, k.tokens, round(p, 6) AS probability, "
+            f"({unit}) / {16 ** 13}::DOUBLE < p AS selected FROM keyed k JOIN drawn d ON coalesce(k.source, '') = d.source "
+            "AND coalesce(k.lang, '') = d.lang AND k.topic = d.topic")
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
+    "op4_mixing": op4_mixing,
+    "op5_packing": op5_packing,
     "op7_simhash": op7_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": mixing_sql(),
+}
