@@ -121,7 +121,7 @@ def calibrated(cells: DataFrame, budget: float) -> DataFrame:
 
 def mix(documents: DataFrame, margins: Sequence[str] = ("source", "lang"), *, text: str = "text",
         doc_id: str = "doc_id", shares: Mapping[str, DataFrame] | None = None, power: float = 0.5,
-        budget: float = 0.5, seed: str = "mix") -> DataFrame:
+        budget: float = 0.5, seed: str = "mix", tolerance: float = TOLERANCE) -> DataFrame:
     """``documents`` with ``_tokens``, ``_topic``, ``_p`` and ``_selected``.
 
     The margins are the named columns and ``topic``, a class of keywords; a
@@ -141,7 +141,8 @@ def mix(documents: DataFrame, margins: Sequence[str] = ("source", "lang"), *, te
 
     cells = stage(keyed(documents.select(text, *margins)).groupBy(*values).agg(F.sum("_tokens").alias("tokens")), "cells")
     targets = {f"_{m}": target.withColumnRenamed(m, f"_{m}") for m, target in (shares or {}).items()}
-    raked = rake(cells, {v: targets[v] if v in targets else tempered(cells, v, power) for v in values})
+    raked = rake(cells, {v: targets[v] if v in targets else tempered(cells, v, power) for v in values},
+                 tolerance)
     drawn = stage(calibrated(raked, budget).select(*values, F.col("p").alias("_p")), "drawn")
     discard(cells, raked)
     selected = _unit(doc_id, seed) < F.coalesce("_p", F.lit(0.0))
