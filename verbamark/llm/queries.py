@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from verbamark.llm.language import folds, identify
 from verbamark.llm.mixing import mix
+from verbamark.llm.nearest import nearest
 from verbamark.llm.packing import pack
 from verbamark.llm.pii import pseudonymise
 from verbamark.llm.simhash import simhash_components
@@ -32,6 +33,11 @@ def op2_language(spark, d):
                         "rejected", "entropy")
 
 
+def op3_nearest(spark, d):
+    vectors = _table(spark, d, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op4_mixing(spark, d):
     mixed = mix(_table(spark, d, "documents").select("doc_id", "text", "source", "lang"))
     return mixed.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
@@ -88,6 +94,7 @@ def mixing_sql(power: float = 0.5, budget: float = 0.5, seed: str = "mix", round
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
+    "op3_nearest": op3_nearest,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
     "op7_simhash": op7_simhash,
