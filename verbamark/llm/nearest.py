@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verbamark.llm.sharing import share
 from verbamark.llm.vectors import bounded_sample, lists, matrix, usable
 from verbamark.session import discard, stage
 
@@ -154,10 +155,10 @@ def _ratio(index: Index, ids: np.ndarray, x: np.ndarray, k: int) -> float:
 
 
 def _dealt(rows: DataFrame, index: Index, queries: bool, k: int) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(index)
+    shared = share(rows, index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = shared()
         for batch in batches:
             for part in (batch.slice(i, AT_ONCE) for i in range(0, batch.num_rows, AT_ONCE)):
                 ids, v = np.asarray(part.column(0)), matrix(part.column(1))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from verbamark.llm.language import folds, identify
 from verbamark.llm.mixing import mix
+from verbamark.llm.near_vectors import near_vectors
 from verbamark.llm.nearest import nearest
 from verbamark.llm.packing import pack
 from verbamark.llm.pii import pseudonymise
@@ -48,6 +49,10 @@ def op5_packing(spark, d):
     return pack(_table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_near_vectors(spark, d):
+    return near_vectors(_table(spark, d, "embeddings"))
+
+
 def op7_simhash(spark, d):
     found = simhash_components(_table(spark, d, "documents"), width=4, threshold=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -97,6 +102,7 @@ QUERIES = {
     "op3_nearest": op3_nearest,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
+    "op6_near_vectors": op6_near_vectors,
     "op7_simhash": op7_simhash,
 }
 
