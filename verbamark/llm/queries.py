@@ -12,6 +12,7 @@ from verbamark.llm.near_vectors import near_vectors
 from verbamark.llm.nearest import nearest
 from verbamark.llm.packing import pack
 from verbamark.llm.pii import pseudonymise
+from verbamark.llm.quality import classify
 from verbamark.llm.simhash import simhash_components
 
 
@@ -42,7 +43,7 @@ def op3_nearest(spark, d):
 def op4_mixing(spark, d):
     mixed = mix(_table(spark, d, "documents").select("doc_id", "text", "source", "lang"))
     return mixed.select("doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
-                        F.round("_p", 6).alias("probability"), F.col("_selected").alias("selected"))
+                        F.round("_p", 4).alias("probability"), F.col("_selected").alias("selected"))
 
 
 def op5_packing(spark, d):
@@ -58,6 +59,15 @@ def op7_simhash(spark, d):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_quality(spark, d):
+    documents = _table(spark, d, "documents").select("doc_id", "text")
+    fold = folds(n=4)
+    labels = _table(spark, d, "labels").where(fold != 2).select("doc_id", "quality")
+    found = classify(documents, documents.join(labels, "doc_id"))
+    return found.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score",
+                        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def mixing_sql(power: float = 0.5, budget: float = 0.5, seed: str = "mix", rounds: int = 20, steps: int = 12) -> str:
     """Raking and calibration unrolled, with more rounds than the given tables need."""
     key = "source, lang, topic"
@@ -91,7 +101,7 @@ def mixing_sql(power: float = 0.5, budget: float = 0.5, seed: str = "mix", round
     parts.append(f"drawn AS (SELECT {key}, least(1, rate * scale) AS p FROM rated, s{steps})")
     unit = " + ".join(f"(strpos('0123456789abcdef', substr(md5('{seed}|' || doc_id), {k}, 1)) - 1) * {16 ** (13 - k)}::DOUBLE"
                       for k in range(1, 14))
-    return (f"WITH {', '.join(parts)} SELECT doc_id, k.source, k.lang, k.topic, k.tokens, round(p, 6) AS probability, "
+    return (f"WITH {', '.join(parts)} SELECT doc_id, k.source, k.lang, k.topic, k.tokens, round(p, 4) AS probability, "
             f"({unit}) / {16 ** 13}::DOUBLE < p AS selected FROM keyed k JOIN drawn d ON coalesce(k.source, '') = d.source "
             "AND coalesce(k.lang, '') = d.lang AND k.topic = d.topic")
 
@@ -104,6 +114,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_near_vectors": op6_near_vectors,
     "op7_simhash": op7_simhash,
+    "op9_quality": op9_quality,
 }
 
 ORACLES: dict[str, str] = {
