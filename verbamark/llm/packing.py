@@ -9,12 +9,14 @@ used for as many windows as there are documents of these lengths.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,52 +24,79 @@ from pyspark.sql import functions as F
 END_ID = 1
 HOLD = 1 << 21
 WORDS_KEPT = 400_000
-WORDS_AT_ONCE = 1 << 17
+BYTES_AT_ONCE = 1 << 24
+WORD_END = "</w>"
+CLOSING = r"([a-z0-9])([.,])([\x20\x09-\x0D]|$)"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
 
 
 class Encoder:
-    """Ids of texts by a tokenizer that never joins across white space; ids of words seen before are looked up."""
+    """Ids of texts by a tokenizer that lower-cases, never joins across white space and marks the ends of words.
+
+    Each different word is encoded once and looked up from then on. To see
+    fewer of them, letters A-Z are lower-cased and a closing point or comma is
+    set apart first, which this kind of tokenizer does anyway.
+    """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids, self.start, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, ids in zip(words, (e.ids for e in found)):
-            k = self.place[word] = len(self.place)
-            if k == len(self.start):
-                self.start, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size))
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.start[k], self.size[k] = self.used, len(ids)
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-
-    def _encode(self, words: list[bytes]) -> np.ndarray:
+        self.place: dict[str, int] = {}
+        self.ids, self.size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w.isalpha() and w == w.lower()]
+        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, np.uint32)
+        size = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        if len(size) != len(plain):  # not one run of letters each after all
+            plain, ids, size = [], ids[:0], size[:0]
+        known = set(plain)
+        others = [w for w in words if w not in known]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        self.place.update(zip(plain + others, range(len(self.place), len(self.place) + len(words))))
+        self.ids += [ids, np.array([k for f in found for k in f], np.uint32)]
+        self.size += [size, np.array([len(f) for f in found], np.int64)]
+
+    def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and how many each has."""
         if len(self.place) > WORDS_KEPT:
             self._forget()
-        at = list(map(self.place.get, words))
-        if None in at:
-            self._learn(list(dict.fromkeys(w for w, k in zip(words, at) if k is None)))
-            at = list(map(self.place.get, words))
-        at = np.array(at, np.int64)
-        size = self.size[at]
-        return self.ids[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        parts = [self._encode(words[k:k + WORDS_AT_ONCE]) for k in range(0, len(words), WORDS_AT_ONCE)]
-        return np.concatenate([*parts, np.array([END_ID], np.uint32)])
+        coded = words.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        if new := [w for w in different if w not in self.place]:
+            self._learn(new)
+        self.ids, self.size = [np.concatenate(self.ids)], [np.concatenate(self.size)]
+        size = self.size[0]
+        start = np.cumsum(size) - size
+        at = np.array([self.place[w] for w in different], np.int64)[np.asarray(coded.indices)]
+        size, start = size[at], start[at]
+        return self.ids[0][np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())], size
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text and its end id."""
+        texts = pc.fill_null(texts, "")
+        bounds = np.cumsum(np.asarray(pc.binary_length(texts), np.int64)) // BYTES_AT_ONCE
+        cuts = np.flatnonzero(np.diff(bounds, prepend=0, append=-1))
+        for first, last in zip([0, *cuts[:-1]], cuts):
+            part = texts.slice(first, last - first)
+            apart = pc.replace_substring_regex(pc.ascii_lower(part), CLOSING, r"\1 \2\3")
+            # a special token's name must stay as it is
+            words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(part, "<|"), part, apart))
+            ids, size = self._encode(words.flatten()) if len(words.flatten()) else (np.zeros(0, np.uint32), np.zeros(0, int))
+            ends = np.concatenate([[0], np.cumsum(size)])
+            at = 0
+            for n in words.value_lengths().to_pylist():
+                yield np.append(ids[ends[at]:ends[at + n]], np.uint32(END_ID))
+                at += n
 
 
 def best_fill(counts: Counter, room: int) -> tuple[dict[int, int], int]:
@@ -185,8 +214,8 @@ def pack(documents: DataFrame, tokenizer: str, window: int = 2048, doc_id: str =
                 packer.rows.clear()
 
         for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                packer.add(key, encode(value.as_buffer().to_pybytes() if value.is_valid else b""))
+            for key, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
+                packer.add(key, ids)
                 if packer.tokens >= HOLD:
                     packer.pack(HOLD // 4)
                 if len(packer.rows) >= 1 << 14:
@@ -194,5 +223,5 @@ def pack(documents: DataFrame, tokenizer: str, window: int = 2048, doc_id: str =
         packer.finish()
         yield from rows()
 
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, SCHEMA)
