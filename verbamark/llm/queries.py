@@ -11,6 +11,7 @@ from verbamark.llm.mixing import mix
 from verbamark.llm.near_vectors import near_vectors
 from verbamark.llm.nearest import nearest
 from verbamark.llm.packing import pack
+from verbamark.llm.page_text import main_text
 from verbamark.llm.pii import pseudonymise
 from verbamark.llm.quality import classify
 from verbamark.llm.simhash import simhash_components
@@ -68,6 +69,10 @@ def op9_quality(spark, d):
                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op10_page_text(spark, d):
+    return main_text(_table(spark, d, "pages"))
+
+
 def mixing_sql(power: float = 0.5, budget: float = 0.5, seed: str = "mix", rounds: int = 20, steps: int = 12) -> str:
     """Raking and calibration unrolled, with more rounds than the given tables need."""
     key = "source, lang, topic"
@@ -115,6 +120,7 @@ QUERIES = {
     "op6_near_vectors": op6_near_vectors,
     "op7_simhash": op7_simhash,
     "op9_quality": op9_quality,
+    "op10_page_text": op10_page_text,
 }
 
 ORACLES: dict[str, str] = {
