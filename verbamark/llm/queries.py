@@ -12,6 +12,7 @@ from verbamark.llm.near_vectors import near_vectors
 from verbamark.llm.nearest import nearest
 from verbamark.llm.packing import pack
 from verbamark.llm.page_text import main_text
+from verbamark.llm.passages import near_passages
 from verbamark.llm.pii import pseudonymise
 from verbamark.llm.quality import classify
 from verbamark.llm.simhash import simhash_components
@@ -60,6 +61,10 @@ def op7_simhash(spark, d):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_passages(spark, d):
+    return near_passages(_table(spark, d, "documents")).withColumn("similarity", F.round("similarity", 6))
+
+
 def op9_quality(spark, d):
     documents = _table(spark, d, "documents").select("doc_id", "text")
     fold = folds(n=4)
@@ -119,6 +124,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_near_vectors": op6_near_vectors,
     "op7_simhash": op7_simhash,
+    "op8_passages": op8_passages,
     "op9_quality": op9_quality,
     "op10_page_text": op10_page_text,
 }
