@@ -6,14 +6,16 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verbamark.session import discard, stage
 
-TOLERANCE = 1e-12
+TOLERANCE = 1e-10
 MAX_ROUNDS = 100
+MAX_CELLS = 200_000
 TOPICS = 8
 HEX_DIGITS = 13
 LONG_WORD = re.compile(rb"[a-z]{5,}")
@@ -62,39 +64,57 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
 
     ``cells`` has one row per combination of the target columns with its
     ``tokens``; a target has a column of that name and ``share``. Each round
-    scales the weights to one margin after the other, until no margin is off
-    by more than ``tolerance``. Values without a target get no weight, targets
-    without tokens are left out and the other shares of that column scaled up.
-    Only the largest deviation of a round reaches the driver.
+    scales the weights to one margin after the other, until none had to be
+    scaled by more than ``tolerance``. Values without a target get no weight,
+    targets without tokens are left out and the other shares of that column
+    scaled up. Only the largest deviation of a round reaches the driver.
     """
-    total = cells.agg(F.sum("tokens").alias("total"))
-    now = stage(cells.crossJoin(F.broadcast(total))  # one row
-                .select(*cells.columns, (F.col("tokens") / F.col("total")).alias("w")), "cells")
-    goals = {}
-    for column, target in targets.items():
-        there = target.join(now.where("w > 0").select(column).distinct(), column, "left_semi")
-        whole = there.agg(F.sum("share").alias("whole"))
-        goals[column] = stage(there.crossJoin(F.broadcast(whole))  # one row
-                              .select(column, (F.col("share") / F.col("whole")).alias("share")), "target")
+    now, goals = cells.where("tokens > 0"), {}
+    for k, (column, target) in enumerate(targets.items()):
+        goals[column] = f"_goal{k}"
+        now = now.join(target.where("share > 0").select(column, F.col("share").alias(goals[column])), column)
+    sums = []
+    for column, goal in goals.items():
+        one = now.groupBy(column).agg(F.max(goal).alias(goal)).agg(F.sum(goal)).first()[0]
+        sums.append(one or 1.0)
+    now = stage(now.select(*cells.columns, F.col("tokens").cast("double").alias("w"), F.lit(1.0).alias("off"),
+                           *((F.col(goal) / one).alias(goal) for goal, one in zip(goals.values(), sums))), "cells")
+    # sums by cell, not documents: few enough are scaled in memory, any number by Spark
+    scaled = _scaled_here if now.count() <= MAX_CELLS else _scaled_by_spark
+    now = scaled(now, goals, tolerance)
+    rest = cells.join(now, [c for c in cells.columns if c != "tokens"], "left_anti")
+    return now.select(*cells.columns, "w").union(rest.select(*cells.columns, F.lit(0.0)))
+
+
+def _scaled_here(now: DataFrame, goals: Mapping[str, str], tolerance: float) -> DataFrame:
+    table = now.toArrow()
+    w, off = np.asarray(table["w"]).copy(), np.inf
+    margins = [(np.asarray(table[column].combine_chunks().dictionary_encode().indices), np.asarray(table[goal]))
+               for column, goal in goals.items()] if len(table) else []
     for _ in range(MAX_ROUNDS):
-        after = now
+        if off <= tolerance:
+            break
+        off = 0.0
+        for at, goal in margins:
+            factor = goal / np.bincount(at, w)[at]
+            w, off = w * factor, max(off, np.abs(1 - factor).max())
+    return now.sparkSession.createDataFrame(table.set_column(table.schema.get_field_index("w"), "w", pa.array(w)),
+                                            now.schema)
+
+
+def _scaled_by_spark(now: DataFrame, goals: Mapping[str, str], tolerance: float) -> DataFrame:
+    for _ in range(MAX_ROUNDS):
+        after = now.withColumn("off", F.lit(0.0))
         for column, goal in goals.items():
             margin = after.groupBy(column).agg(F.sum("w").alias("m"))
-            factor = margin.join(goal, column).select(column, F.when(F.col("m") > 0, F.col("share") / F.col("m"))
-                                                      .otherwise(0.0).alias("f"))
-            after = after.join(factor, column, "left").select(
-                *cells.columns, (F.col("w") * F.coalesce("f", F.lit(0.0))).alias("w"))
-        after = stage(after, "cells")
+            factor = F.col(goal) / F.col("m")
+            after = after.join(margin, column).withColumns(
+                {"w": F.col("w") * factor, "off": F.greatest("off", F.abs(1 - factor))}).drop("m")
+        after = stage(after.select(now.columns), "cells")
         discard(now)
         now = after
-        off = None
-        for column, goal in goals.items():
-            one = now.groupBy(column).agg(F.sum("w").alias("m")).join(goal, column).agg(
-                F.max(F.abs(F.col("m") - F.col("share"))).alias("off"))
-            off = one if off is None else off.union(one)
-        if (off.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+        if (now.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
             break
-    discard(*goals.values())
     return now
 
 
@@ -143,8 +163,8 @@ def mix(documents: DataFrame, margins: Sequence[str] = ("source", "lang"), *, te
     targets = {f"_{m}": target.withColumnRenamed(m, f"_{m}") for m, target in (shares or {}).items()}
     raked = rake(cells, {v: targets[v] if v in targets else tempered(cells, v, power) for v in values},
                  tolerance)
-    drawn = stage(calibrated(raked, budget).select(*values, F.col("p").alias("_p")), "drawn")
-    discard(cells, raked)
+    drawn = stage(calibrated(stage(raked, "raked"), budget).select(*values, F.col("p").alias("_p")), "drawn")
+    discard(cells)
     selected = _unit(doc_id, seed) < F.coalesce("_p", F.lit(0.0))
     return keyed(documents).join(drawn, list(values), "left").select(
         *documents.columns, "_tokens", "_topic", "_p", selected.alias("_selected"))
