@@ -1,0 +1,46 @@
+"""Nearest vectors against brute force."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from verbamark.llm import nearest as ne
+from verbamark.llm.nearest import nearest
+
+
+def exact(x, asked, k):
+    out = {}
+    for q in asked:
+        score = x @ x[q]
+        order = [i for i in np.lexsort((np.arange(len(x)), -score)) if i != q][:k]
+        out[q] = order
+    return out
+
+
+def test_recall_ties_and_odd_rows(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(900, 12)).astype(np.float32)
+    x[100:140] = x[5]  # ties
+    rows = [(i, [float(v) for v in x[i]]) for i in range(len(x))]
+    odd = [(2000, None), (2020, [0.0] * 12), (2040, [float("inf")] * 12), (2060, [None] * 12), (None, rows[0][1]), rows[7]]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>").withColumn("rank", F.lit("clash"))
+    want = exact(x.astype(float), range(0, 900, 20), 20)
+    for part in (ne.PART, 16):
+        monkeypatch.setattr(ne, "PART", part)
+        found = nearest(df, df.where("vec_id % 20 = 0")).collect()
+        by = {q: sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == q) for q in want}
+        assert {r.query_id for r in found} == set(want)
+        hits = sum(len({v for _, v, _ in by[q]} & set(want[q])) for q in want)
+        assert hits >= 0.9 * 20 * len(want)
+        for q, rows_of in by.items():
+            assert [r for r, _, _ in rows_of] == list(range(1, 21))
+            assert all(abs(s - x[q].astype(float) @ x[v].astype(float)) < 1e-9 for _, v, s in rows_of)
+            assert [(-s, v) for _, v, s in rows_of] == sorted((-s, v) for _, v, s in rows_of)
+
+
+
+
+def test_fewer_candidates_than_wanted(spark):
+    df = spark.createDataFrame([(20, [1.0, 0.0]), (1, [0.5, 1.0]), (2, [0.25, 1.0])], "vec_id long, embedding array<double>")
+    found = [(r.query_id, r.rank, r.vec_id, r.score) for r in nearest(df, df.where("vec_id = 20")).collect()]
+    assert sorted(found) == [(20, 1, 1, 0.5), (20, 2, 2, 0.25)]
+    assert nearest(df.limit(0), df).count() == 0 and nearest(df, df.limit(0)).count() == 0
