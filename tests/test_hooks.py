@@ -158,3 +158,15 @@ def test_whole_run(spark, tmp_path):
     assert charts["error_shares"].count() == 2
     assert count_errors(error_names(judged)).count() == 2
     assert [r.stage for r in times.table(spark).collect()] == ["translation"]
+
+
+def test_odd_answers_are_errors_of_their_rows(spark):
+    segments = spark.createDataFrame([(k, f"s{k}") for k in range(4)], "seg_id long, source string")
+    answers = {"s0": "fine", "s1": 7, "s2": ["a"], "s3": None}
+    found = apply_translators(segments, {"odd": lambda text, slot: answers[text]}, max_attempts=2).collect()
+    assert {r.seg_id for r in found} == {0, 1, 2, 3}
+    assert all(("TypeError" in (r.error or "")) == (r.seg_id in (1, 2)) for r in found)
+    prompts = spark.createDataFrame([(k, "odd", f"s{k}") for k in range(4)], "seg_id long, system string, prompt string")
+    replies = {"s0": [], "s1": {1, 2}, "s2": object(), "s3": [{"name": "x"}]}
+    judged = apply_judge(prompts, lambda prompt, slot: replies[prompt], max_attempts=1).collect()
+    assert {r.seg_id: bool(r.error) for r in judged} == {0: False, 1: True, 2: True, 3: False}

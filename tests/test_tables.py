@@ -1,8 +1,11 @@
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 
-from verbamark.session import shared_folder, spread, stage
+from verbamark.session import discard, shared_folder, spread, stage
 from verbamark.sources import tables
+from verbamark.sources.lines import read_lines
 
 WIDE = "seg_id bigint, source string, reference string, A string, B string"
 
@@ -40,3 +43,24 @@ def test_spread_leaves_wide_scans_alone(spark):
     assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 4
     many = spark.range(0, 100, 1, 9)
     assert spread(many) is many
+
+
+def test_system_names_come_back_as_they_were(spark, tmp_path):
+    names = ["01", "1", "2020-01-01", "a/b", "c"]
+    long = spark.createDataFrame([(k, n, f"text {n}") for k, n in enumerate(names)], "seg_id long, system string, text string")
+    tables.write_candidates(long, long, str(tmp_path / "store"))
+    back = tables.read_by_system(spark, str(tmp_path / "store"))
+    assert sorted((r.system, r.text) for r in back.collect()) == sorted((n, f"text {n}") for n in names)
+    for n in names:
+        assert [r.text for r in tables.read_system(spark, str(tmp_path / "store"), n).collect()] == [f"text {n}"]
+
+
+def test_a_path_named_twice_is_refused(spark):
+    with pytest.raises(ValueError):
+        read_lines(spark, {"source": ["a.txt", "a.txt"]})
+
+
+def test_discarded_tables_are_gone(spark, tmp_path):
+    staged = stage(spark.range(3), "three")
+    discard(staged, spark.range(1))
+    assert not os.path.exists(staged.staged_path.removeprefix("file:"))

@@ -124,9 +124,9 @@ def report_validity(judgements: DataFrame) -> DataFrame:
         (ok & F.coalesce(in_range, F.lit(False)) & (F.size(outside) == 0)).alias("valid"))
 
 
-def export_judgements(judgements: DataFrame) -> DataFrame:
+def export_judgements(judgements: DataFrame, on_failure: str = "zero") -> DataFrame:
     """Flat text columns, one row per judgement, for people to read."""
-    filled = with_defaults(judgements)
+    filled = with_defaults(judgements, on_failure)
     severities = F.transform(F.col("errors.severity"), lambda s: number_text(s, missing="None"))
     return filled.select(
         "seg_id", "system",

@@ -20,9 +20,14 @@ def read_lines(spark: SparkSession, corpora: Mapping[str, str | Sequence[str]])
     earlier splits of its file plus its distance from the split's first row.
     Only the per-split counts are gathered, never the lines of a file.
 
+    A path named twice is refused, as its lines could not be told apart.
+
     The scan is written out before it is counted: row ids depend on how splits
     are packed into tasks, which may change from one run to the next.
     """
+    for corpus, paths in corpora.items():
+        if not isinstance(paths, str) and len(set(paths)) < len(paths):
+            raise ValueError(f"a path of {corpus!r} is named more than once")
     scans = [
         spark.read.text([paths] if isinstance(paths, str) else list(paths)).select(
             F.lit(corpus).alias("corpus"),

@@ -7,6 +7,7 @@ from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from verbamark.schemas import wide_schema
 
@@ -43,13 +44,25 @@ def write_candidates(wide: DataFrame, long: DataFrame, directory: str) -> None:
     A read of one system then touches that system's files only.
     """
     wide.write.mode("overwrite").parquet(_path(directory, TOTAL))
-    long.write.mode("overwrite").partitionBy("system").parquet(_path(directory, BY_SYSTEM))
+    # gathered by system, so that not every task writes a file for each; large systems are split again
+    gathered = long.hint("rebalance", "system")
+    gathered.write.mode("overwrite").partitionBy("system").parquet(_path(directory, BY_SYSTEM))
 
 
 def read_system(spark: SparkSession, directory: str, system: str) -> DataFrame:
-    """One system's rows of the table ``write_candidates`` partitioned."""
-    long = spark.read.parquet(_path(directory, BY_SYSTEM))
-    return long.where(F.col("system") == system)
+    """One system's rows of the table ``write_candidates`` partitioned.
+
+    Names are read as text: left to itself Spark would take 01 for the number 1.
+    """
+    return read_by_system(spark, directory).where(F.col("system") == system)
+
+
+def read_by_system(spark: SparkSession, directory: str) -> DataFrame:
+    """The long table with its systems as they were named."""
+    path = _path(directory, BY_SYSTEM)
+    found = spark.read.parquet(path).schema
+    declared = StructType([StructField(f.name, StringType()) if f.name == "system" else f for f in found])
+    return spark.read.schema(declared).parquet(path)
 
 
 def write_tables(tables: Mapping[str, DataFrame], directory: str) -> None:
