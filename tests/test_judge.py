@@ -139,3 +139,12 @@ def test_rules(spark):
     found = [[e.error_type for e in r.errors] for r in annotate(df).orderBy("seg_id").collect()]
     assert found == [["Untranslated", "Number Format"], ["Missing Text"], ["Missing Text"], ["Addition"],
                      ["Omission"], ["Character Encoding "], [], ["Punctuation"]]
+
+
+def test_a_severity_sent_as_text_is_read_and_an_unreadable_one_is_flagged(spark):
+    sent = [call([error(severity="7"), error(severity="high"), error(severity=None), error(severity={"a": 1})])]
+    r, = parsed(spark, sent)
+    assert r.status == "ok"
+    assert [str(e.severity) for e in r.errors] == ["7.0", "nan", "None", "nan"]
+    flagged, = ju.report_validity(ju.parse_reports(replies(spark, sent))).collect()
+    assert (flagged.n_bad_severity, flagged.valid) == (2, False)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbamark.functions.text import WHITESPACE, clean_text, judge_prompt, number_text
-from verbamark.schemas import ERROR, SCORE_RANGE, SEVERITY_RANGE, TOOL_CALLS
+from verbamark.schemas import ERROR, SCORE_RANGE, SENT_ERROR, SEVERITY_RANGE, TOOL_CALLS
 
 # a report without one of these is void; only the severity may be absent
 REQUIRED = ("source_chunk", "target_chunk", "reference_chunk", "error_type", "explanation")
@@ -15,7 +15,7 @@ CLEANED = ("source_chunk", "target_chunk", "reference_chunk", "explanation")
 
 
 def _no_errors() -> Column:
-    return F.array().cast(T.ArrayType(ERROR))
+    return F.array().cast(T.ArrayType(SENT_ERROR))
 
 
 def judge_prompts(candidates: DataFrame, with_reference: bool = True) -> DataFrame:
@@ -53,13 +53,20 @@ def _complete(error: Column) -> Column:
     return whole
 
 
+def _severity(sent: Column) -> Column:
+    """The number, also one sent as text; null if absent or null, NaN if it is no number."""
+    number = F.coalesce(F.try_variant_get(sent, "$", "double"), F.lit(float("nan")))
+    return F.when(sent.isNotNull() & ~F.is_variant_null(sent), number)
+
+
 def _cleaned(error: Column) -> Column:
     return F.struct(*[
-        (clean_text(error[f.name]) if f.name in CLEANED else error[f.name]).alias(f.name) for f in ERROR])
+        (clean_text(error[f.name]) if f.name in CLEANED else _severity(error["severity"]) if f.name == "severity"
+         else error[f.name]).alias(f.name) for f in ERROR])
 
 
 def _counted(error: Column) -> Column:
-    return F.struct(error["error_type"].alias("error_type"), error["severity"].alias("severity"))
+    return F.struct(error["error_type"].alias("error_type"), _severity(error["severity"]).alias("severity"))
 
 
 def parse_reports(replies: DataFrame, strict: bool = True, texts: bool = True) -> DataFrame:
@@ -67,7 +74,8 @@ def parse_reports(replies: DataFrame, strict: bool = True, texts: bool = True) -
 
     ``strict`` takes a report whole or not at all: one incomplete error or an
     absent score makes it ``void``. Otherwise incomplete errors are left out
-    and an absent score stays null. Without a usable report ``errors`` and
+    and an absent score stays null. A severity that is no number is NaN, which
+    ``report_validity`` flags. Without a usable report ``errors`` and
     ``score`` are null. Values out of range are kept as they came. Without
     ``texts`` the errors hold their type and severity only, which is all that
     counts and averages read.

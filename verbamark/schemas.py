@@ -54,9 +54,10 @@ REPORT = T.StructType([
     T.StructField("scores", T.DoubleType()),
 ])
 
-# as sent: a score given as null is told from one not given
+# as sent: a severity may be a text, and a score given as null is told from one not given
+SENT_ERROR = T.StructType([T.StructField("severity", T.VariantType()) if f.name == "severity" else f for f in ERROR])
 TOOL_CALLS = T.ArrayType(T.StructType([T.StructField("args", T.StructType([
-    REPORT["errors"], T.StructField("scores", T.VariantType())]))]))
+    T.StructField("errors", T.ArrayType(SENT_ERROR)), T.StructField("scores", T.VariantType())]))]))
 
 ATTEMPTS = T.StructType([
     T.StructField("seg_id", T.LongType()),
