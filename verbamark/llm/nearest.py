@@ -14,7 +14,7 @@ well, so no task holds more than one part of each.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from verbamark.llm.sharing import share
 from verbamark.llm.vectors import bounded_sample, lists, matrix, usable
-from verbamark.session import discard, stage
+from verbamark.session import stage
 
 SAMPLE = 20_000
 MAX_LISTS = 1024
@@ -32,7 +32,7 @@ DEGREE, BEAM, ENTRIES = 24, 16, 8
 COPIES, CLOSURE = 4, 1.2
 RECALL = 0.97
 TEST_QUERIES = 512
-SLACK = 3
+SLACK = 2
 AT_ONCE = 256
 
 
@@ -67,20 +67,25 @@ class Index:
     sample_ids: np.ndarray
     sample: np.ndarray
     ratio: float = 1.0
+    typical: float = 0.0
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.norm ** 2 - (x * x).sum(axis=1), 0))
         return np.hstack([x, rest[:, None]])
 
-    def search(self, x: np.ndarray, ratio: float) -> np.ndarray:
-        """Distances to the centroids that the walk reached, others infinite: all near ones up to ``ratio``."""
+    def search(self, x: np.ndarray, ratio: float, typical: float = 0.0) -> np.ndarray:
+        """Distances to the centroids that the walk reached, others infinite.
+
+        Reached are all that are nearer than ``ratio`` times the least distance,
+        or ``typical`` if that is more, as far as the graph leads to them.
+        """
         far = np.full((len(x), len(self.centroids)), np.inf)
         done = np.zeros(far.shape, bool)
         row, at = np.repeat(np.arange(len(x)), len(self.entries)), np.tile(self.entries, len(x))
         beam = min(BEAM, len(self.centroids)) - 1
         while len(row):
             far[row, at] = np.sqrt(np.maximum(((x[row] - self.centroids[at]) ** 2).sum(axis=1), 0))
-            limit = np.maximum(far.min(axis=1) * ratio, np.partition(far, beam, axis=1)[:, beam])
+            limit = np.maximum(np.maximum(far.min(axis=1), typical) * ratio, np.partition(far, beam, axis=1)[:, beam])
             row, at = np.nonzero((far <= limit[:, None]) & ~done & np.isfinite(far))
             done[row, at] = True
             row, at = np.repeat(row, self.graph.shape[1]), self.graph[at].ravel()
@@ -98,11 +103,15 @@ class Index:
 
     def probes(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lists that each query goes to, as (row, list)."""
-        far = self.search(np.hstack([q, np.zeros((len(q), 1))]), self.ratio)
-        return np.nonzero(far <= far.min(axis=1, keepdims=True) * self.ratio)
+        if np.isinf(self.ratio):
+            return np.divmod(np.arange(len(q) * len(self.centroids)), len(self.centroids))
+        far = self.search(np.hstack([q, np.zeros((len(q), 1))]), self.ratio, self.typical)
+        return np.nonzero(far <= np.maximum(far.min(axis=1, keepdims=True), self.typical) * self.ratio)
 
     def floor(self, ids: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
         """A score that more than ``k`` vectors reach, by the sample; nothing below it can be among the nearest."""
+        if not len(self.sample):
+            return np.full(len(q), -np.inf)
         score = q @ self.sample.T
         score[ids[:, None] == self.sample_ids] = -np.inf
         k *= SLACK
@@ -125,7 +134,9 @@ def fit(rows: DataFrame, k: int) -> Index | None:
     lifted = index.lifted(x)
     n_lists = int(min(MAX_LISTS, max(1, round(total ** 0.5)), max(1, len(x) // 16)))
     index.centroids = balanced_centroids(lifted, n_lists)
-    between = ((index.centroids[:, None] - index.centroids[None]) ** 2).sum(axis=2)
+    length = (index.centroids ** 2).sum(axis=1)
+    between = length[:, None] + length - 2 * index.centroids @ index.centroids.T
+    np.fill_diagonal(between, -1)
     index.graph = np.argsort(between, axis=1, kind="stable")[:, 1:DEGREE + 1]
     if index.graph.shape[1] == 0:
         index.graph = np.zeros((1, 1), int)
@@ -137,18 +148,25 @@ def fit(rows: DataFrame, k: int) -> Index | None:
 def _ratio(index: Index, ids: np.ndarray, x: np.ndarray, k: int) -> float:
     """The least ratio with which ``RECALL`` of the sample's true neighbours stand in a list that is probed."""
     tests = np.arange(0, len(x), max(1, len(x) // TEST_QUERIES))
-    score = x[tests] @ x.T
-    score[np.arange(len(tests)), tests] = -np.inf
-    near = np.argsort(-score, axis=1, kind="stable")[:, :min(k, len(x) - 1)]
+    near = []
+    for part in (tests[i:i + AT_ONCE // 4] for i in range(0, len(tests), AT_ONCE // 4)):
+        score = x[part] @ x.T
+        score[np.arange(len(part)), part] = -np.inf
+        near.append(np.argsort(-score, axis=1, kind="stable")[:, :min(k, len(x) - 1)].copy())
+    near = np.concatenate(near)
     if not near.size:
         return 1.0
     wanted = np.unique(near)
     holds = np.zeros((len(x), len(index.centroids)), bool)
-    row, at = index.places(x[wanted])
-    holds[wanted[row], at] = True
+    for part in (wanted[i:i + AT_ONCE] for i in range(0, len(wanted), AT_ONCE)):
+        row, at = index.places(x[part])
+        holds[part[row], at] = True
     q = np.hstack([x[tests], np.zeros((len(tests), 1))])
     far = np.sqrt(np.maximum((q * q).sum(axis=1)[:, None] + (index.centroids ** 2).sum(axis=1) - 2 * q @ index.centroids.T, 0))
     least = far.min(axis=1)
+    # a query with a centroid right beside it still has most neighbours as far away as others have
+    index.typical = float(np.median(least))
+    least = np.maximum(least, index.typical)
     needed = np.concatenate([np.where(holds[near[i]], far[i], np.inf).min(axis=1) / max(least[i], 1e-12)
                              for i in range(len(tests))])
     return float(np.quantile(needed, RECALL)) * (1 + 1e-9)
@@ -199,7 +217,20 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     postings = stage(_dealt(base, index, False, k), "postings")
-    probes = stage(_dealt(asked, index, True, k), "probes")
+    found = _found(postings, stage(_dealt(asked, index, True, k), "probes"), k)
+    # an odd query whose lists held too few goes to all lists
+    full = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).where(F.col("n") >= k)
+    rest = asked.join(full.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")
+    everywhere = replace(index, ratio=np.inf, sample_ids=index.sample_ids[:0], sample=index.sample[:0])
+    found = found.union(_found(postings, stage(_dealt(rest, everywhere, True, k), "probes"), k))
+    best = F.slice(F.sort_array(F.collect_set(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k)
+    return (found.groupBy("query_id").agg(best.alias("best"))
+            .select("query_id", F.posexplode("best").alias("rank", "b"))
+            .select("query_id", (F.col("rank") + 1).alias("rank"), "b.vec_id", (-F.col("b.far")).alias("score")))
+
+
+def _found(postings: DataFrame, probes: DataFrame, k: int) -> DataFrame:
+    """``(query_id, vec_id, score)``: the best of every list that a query goes to, those above its floor."""
     sizes = postings.groupBy("list").agg(F.ceil(F.count("*") / PART).cast("int").alias("n_v")).join(
         probes.groupBy("list").agg(F.ceil(F.count("*") / PART).cast("int").alias("n_q")), "list")
     sizes = F.broadcast(sizes)  # at most MAX_LISTS rows
@@ -231,7 +262,4 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
     keys = ["list", "n_v", "n_q"]
     found = (cut(postings, "n_v", "n_q").groupBy(*keys).cogroup(cut(probes, "n_q", "n_v").groupBy(*keys))
              .applyInArrow(compare, "query_id long, vec_id long, score double"))
-    best = F.slice(F.sort_array(F.collect_set(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k)
-    return (found.groupBy("query_id").agg(best.alias("best"))
-            .select("query_id", F.posexplode("best").alias("rank", "b"))
-            .select("query_id", (F.col("rank") + 1).alias("rank"), "b.vec_id", (-F.col("b.far")).alias("score")))
+    return stage(found, "found")
