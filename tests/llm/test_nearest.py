@@ -44,3 +44,15 @@ def test_fewer_candidates_than_wanted(spark):
     found = [(r.query_id, r.rank, r.vec_id, r.score) for r in nearest(df, df.where("vec_id = 20")).collect()]
     assert sorted(found) == [(20, 1, 1, 0.5), (20, 2, 2, 0.25)]
     assert nearest(df.limit(0), df).count() == 0 and nearest(df, df.limit(0)).count() == 0
+
+
+def test_rows_that_stand_25_times_count_once(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 8))
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(len(x))], "vec_id long, embedding array<double>")
+    df = df.withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(25)))).drop("_")
+    want = exact(x, range(0, 300, 20), 20)
+    found = nearest(df, df.where("vec_id % 20 = 0")).collect()
+    by = {q: [v for _, v in sorted((r.rank, r.vec_id) for r in found if r.query_id == q)] for q in want}
+    assert all(len(by[q]) == len(set(by[q])) == 20 for q in want)
+    assert sum(len(set(by[q]) & set(want[q])) for q in want) >= 0.9 * 20 * len(want)

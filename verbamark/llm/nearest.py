@@ -206,13 +206,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
     The score is the inner product in doubles, ties go to the smaller id.
     Vectors and queries that are null, zero, or hold null or non-finite
     components, or have no id take no part. All vectors have one length.
-    Repeated rows of one id count once. Empty tables give no rows. Other
-    columns are not read.
+    Repeated rows of one id count once, those that differ by the vector that
+    sorts first. Empty tables give no rows. Other columns are not read.
     """
     spark = vectors.sparkSession
     clean = lambda df: df.where(usable(vector) & F.col(vec_id).isNotNull()).select(
-        F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("v"))
-    base, asked = clean(vectors), clean(queries)
+        F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    base, asked = stage(clean(vectors), "vectors"), stage(clean(queries), "queries")
     index = fit(base, k)
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
