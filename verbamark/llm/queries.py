@@ -13,8 +13,11 @@ from verbamark.llm.nearest import nearest
 from verbamark.llm.packing import pack
 from verbamark.llm.page_text import main_text
 from verbamark.llm.passages import near_passages
+from verbamark.llm.pieces import encode
 from verbamark.llm.pii import pseudonymise
 from verbamark.llm.quality import classify
+from verbamark.llm.repair import repair
+from verbamark.llm.runs import periodic_runs
 from verbamark.llm.simhash import simhash_components
 
 
@@ -79,6 +82,56 @@ def op10_page_text(spark, d):
     return main_text(_table(spark, d, "pages"))
 
 
+def looped(documents: DataFrame) -> DataFrame:
+    """Documents, one in ten of them with a loop in place of the words from some place on."""
+    words = r"transform(array(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)), w -> struct(w, size(w) as n))"
+    at = f"transform({words}, s -> struct(s.w, s.n, (h div 10) % s.n as a))"
+    loop = f"transform({at}, s -> struct(s.w, s.n, s.a, 1 + (s.n - s.a) div (3 + (h div 10) % 8) as p))[0]"
+    turned = (f"array_join(flatten(transform(array({loop}), s -> transform(sequence(0L, s.n - 1L), "
+              "i -> s.w[cast(if(i < s.a, i, s.a + (i - s.a) % s.p) as int)]))), ' ')")
+    some = r"h % 10 = 0 and text rlike '[^\\x20\\x09-\\x0D]'"
+    hashed = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    return hashed.select("doc_id", F.expr(f"case when {some} then {turned} else text end").alias("text"))
+
+
+def op11_runs(spark, d):
+    found = periodic_runs(looped(_table(spark, d, "documents")))
+    run = "struct<start:bigint,length:bigint,period:bigint>"
+    # runs are ordered by start and period, so the first of the greatest stays
+    best = F.expr(f"aggregate(runs, cast(null as {run}), (b, r) -> "
+                  "if(b is null or r.length * b.period > b.length * r.period, r, b))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
+def op12_pieces(spark, d):
+    found = encode(_table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with a fault in five of twenty: ``kept`` is false for a dropped one, a repeated one comes twice."""
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"),
+                   F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    fault = F.crc32(key) % 20
+    text = F.coalesce("text", F.lit(" "))
+    return turns.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        (fault != 0).alias("kept"), F.explode(F.when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+
+
+def op13_conversations(spark, d):
+    return repair(damaged(_table(spark, d, "conversations")), F.col("kept"))
+
+
 def mixing_sql(power: float = 0.5, budget: float = 0.5, seed: str = "mix", rounds: int = 20, steps: int = 12) -> str:
     """Raking and calibration unrolled, with more rounds than the given tables need."""
     key = "source, lang, topic"
@@ -128,6 +181,9 @@ QUERIES = {
     "op8_passages": op8_passages,
     "op9_quality": op9_quality,
     "op10_page_text": op10_page_text,
+    "op11_runs": op11_runs,
+    "op12_pieces": op12_pieces,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLES: dict[str, str] = {
