@@ -145,7 +145,7 @@ def test_whole_run(spark, tmp_path):
     scorers = {metrics.WITH_REFERENCE: (lambda: lambda src, mt, ref: chrf(mt, ref), True),
                metrics.REFERENCE_FREE: (lambda: lambda src, mt: (src == mt).astype("float"), False)}
     scores = metrics.score_candidates(candidates, scorers)
-    assert scores.count() == 20
+    assert scores.count() == 24 and scores.where("status = 'no text'").count() == 4
     metrics.store_metrics(wide, scores, systems, str(tmp_path / "results"))
     table = tables.read_table(spark, str(tmp_path / "results"), metrics.WITH_REFERENCE)
     assert table.count() == 7
@@ -154,7 +154,7 @@ def test_whole_run(spark, tmp_path):
     assert flat.columns == ["seg_id", "source", "reference", "A", "error_type", "severity", "explanation", "score"]
 
     charts = report.chart_tables(scores, judged)
-    assert charts["score_series"].count() == 24
+    assert charts["score_series"].count() == 28
     assert charts["error_shares"].count() == 2
     assert count_errors(error_names(judged)).count() == 2
     assert [r.stage for r in times.table(spark).collect()] == ["translation"]

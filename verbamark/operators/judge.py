@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verbamark.functions.text import WHITESPACE, clean_text, judge_prompt, number_text
+from verbamark.functions.text import PROMPT_LABELS, WHITESPACE, clean_text, judge_prompt, number_text
 from verbamark.schemas import ERROR, SCORE_RANGE, SENT_ERROR, SEVERITY_RANGE, TOOL_CALLS
 
 # a report without one of these is void; only the severity may be absent
@@ -18,9 +20,10 @@ def _no_errors() -> Column:
     return F.array().cast(T.ArrayType(SENT_ERROR))
 
 
-def judge_prompts(candidates: DataFrame, with_reference: bool = True) -> DataFrame:
+def judge_prompts(candidates: DataFrame, with_reference: bool = True,
+                  labels: Sequence[str] = PROMPT_LABELS) -> DataFrame:
     prompt = judge_prompt(F.col("source"), F.col("text"),
-                          F.col("reference") if with_reference else None)
+                          F.col("reference") if with_reference else None, labels)
     return candidates.select("seg_id", "system", prompt.alias("prompt"))
 
 

@@ -27,16 +27,25 @@ def score_candidates(candidates: DataFrame, scorers: Mapping[str, tuple[Loader,
                      tasks: int | None = None) -> DataFrame:
     """Long scores of each named scorer, given as ``(loader, takes_reference)``.
 
-    Scores are staged, as models are dear. A candidate that was not scored has
-    no row here; ``score_table`` shows it with a null.
+    Scores are staged, as models are dear. Every candidate has a row per
+    metric. ``status`` says how it came by its score: ``ok``, ``missing`` (the
+    model gave none), ``error`` (the model failed on this row, ``error`` says
+    how) or ``no text`` (it was not given to the model).
     """
     scored = None
     for metric, (load, takes_reference) in scorers.items():
         inputs = scoring_input(candidates, takes_reference, score_failures)
         columns = ("src", "mt", "ref") if takes_reference else ("src", "mt")
-        part = (apply_scorer(inputs, load, columns, batch_rows=batch_rows, tasks=tasks)
-                .select("seg_id", "system", F.lit(metric).alias("metric"), "score"))
+        part = (apply_scorer(inputs, load, columns, batch_rows=batch_rows, tasks=tasks, outcome=True)
+                .select("seg_id", "system", F.lit(metric).alias("metric"), "score",
+                        F.col("score_status").alias("status"), F.col("score_error").alias("error")))
         scored = part if scored is None else scored.unionByName(part)
+    if not score_failures:
+        metric = F.explode(F.array(*map(F.lit, scorers))).alias("metric")
+        scored = scored.unionByName(
+            candidates.where(F.col("text").isNull())
+            .select("seg_id", "system", metric, F.lit(None).cast("double").alias("score"),
+                    F.lit("no text").alias("status"), F.lit(None).cast("string").alias("error")))
     return stage(scored, "scores")
 
 

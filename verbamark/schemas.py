@@ -75,6 +75,16 @@ REPLIES = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+# what a log keeps of every attempt of either kind
+CALLS = T.StructType([
+    T.StructField("seg_id", T.LongType()),
+    T.StructField("system", T.StringType()),
+    T.StructField("attempt", T.IntegerType()),
+    T.StructField("answer", T.StringType()),
+    T.StructField("error", T.StringType()),
+    T.StructField("settled", T.BooleanType()),
+])
+
 
 def wide_schema(systems: Sequence[str]) -> T.StructType:
     """Schema of a wide candidate table: one text column per system."""
