@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verbamark.functions.text import split_lines, strip
+from verbamark.operators.positions import BITS, prefix_sums
 from verbamark.session import stage
 
 
@@ -13,42 +15,64 @@ class AlignmentError(ValueError):
 
 
 def number_across(lines: DataFrame, unit: str = "doc_id", line: str = "line_no",
-                  corpus: str = "corpus", span: int = 1 << 16) -> DataFrame:
+                  corpus: str = "corpus", bits: int = BITS) -> DataFrame:
     """Add ``position``: the 1-based line number over all units of a corpus.
 
     ``unit`` is an integer key that orders the texts of a corpus, ``line`` the
-    number of a line in its text. Only ``(unit, count)`` rows are put in order,
-    in ranges of ``span`` keys at a time; the running total over ranges then
-    has one row per range. No task sees all lines, or all units, of a corpus.
-    The counts are staged, so that the texts are read once for them however
-    often the positions are used.
+    number of a line in its text. Only ``(unit, count)`` rows are summed, by
+    levels of key ranges (``prefix_sums``). The counts are staged, so that the
+    texts are read once for them however often the positions are used. Where
+    the texts are still whole, ``number_texts`` moves less.
     """
-    earlier = (Window.unboundedPreceding, -1)
-    by_unit = Window.partitionBy(corpus, "range").orderBy(unit).rowsBetween(*earlier)
-    by_range = Window.partitionBy(corpus).orderBy("range").rowsBetween(*earlier)
-    counts = (lines.groupBy(corpus, unit).agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("range", F.floor(F.col(unit) / F.lit(span))))
-    counts = stage(counts, "line-counts")
-    ranges = (counts.groupBy(corpus, "range").agg(F.sum("n").alias("n"))
-              .select(corpus, "range",
-                      F.coalesce(F.sum("n").over(by_range), F.lit(0)).alias("before_range")))
-    starts = (counts.withColumn("before_unit", F.coalesce(F.sum("n").over(by_unit), F.lit(0)))
-              .join(ranges, [corpus, "range"])
-              .select(corpus, unit, (F.col("before_range") + F.col("before_unit")).alias("before")))
+    counts = stage(lines.groupBy(corpus, unit).agg(F.count(F.lit(1)).alias("n")), "line-counts")
+    starts = prefix_sums(counts, [corpus], unit, "n", bits).drop("n")
     return (lines.join(starts, [corpus, unit])
             .withColumn("position", F.col("before") + F.col(line)).drop("before"))
 
 
-def align(source: DataFrame, reference: DataFrame, position: str = "line_no",
+def number_texts(texts: DataFrame, text: str = "text", unit: str = "doc_id", corpus: str = "corpus",
+                 bits: int = BITS) -> DataFrame:
+    """Lines of whole texts as ``(corpus, unit, line_no, position, text)``, numbered as by ``number_across``.
+
+    A text gets the number of lines before it while it is whole, so no line is
+    moved to be numbered. ``unit`` must name one text of a corpus; a null or
+    empty text has no lines.
+    """
+    pieces = texts.select(corpus, unit, split_lines(F.col(text)).alias("_lines"))
+    counts = stage(pieces.select(corpus, unit, F.greatest(F.size("_lines"), F.lit(0)).cast("long").alias("n")), "line-counts")
+    starts = prefix_sums(counts, [corpus], unit, "n", bits).select(corpus, unit, "before")
+    lines = pieces.join(starts, [corpus, unit]).select(corpus, unit, "before", F.posexplode("_lines").alias("_at", "_line"))
+    line_no = (F.col("_at") + 1).cast("bigint")
+    return lines.select(corpus, unit, line_no.alias("line_no"), (F.col("before") + line_no).alias("position"),
+                        strip(F.col("_line")).alias("text"))
+
+
+def align_corpora(lines: DataFrame, source: str = "source", reference: str = "reference", corpus: str = "corpus",
+                  position: str = "position") -> DataFrame:
+    """``align`` of two corpora that lie in one frame, read once and shuffled once."""
+    def of(name: str):
+        return F.max(F.when(F.col(corpus) == name, F.struct("text"))).alias(name)
+
+    pairs = lines.where(F.col(corpus).isin(source, reference)).groupBy(F.col(position).alias("seg_id")).agg(of(source), of(reference))
+    side = (F.when(F.col(reference).isNull(), "source_only")
+            .when(F.col(source).isNull(), "reference_only").otherwise("both"))
+    return pairs.select("seg_id", F.col(f"{source}.text").alias("source"), F.col(f"{reference}.text").alias("reference"),
+                        side.alias("side"))
+
+
+def align(source: DataFrame, reference: DataFrame, position: str | None = None,
           strict: bool = False) -> DataFrame:
     """Pair the n-th source line with the n-th reference line.
 
-    Returns ``(seg_id, source, reference, side)``. Lines beyond the shorter
+    ``position`` is the column that numbers the lines of a corpus: if not
+    named, ``position`` where both sides have it, else ``line_no``. Returns ``(seg_id, source, reference, side)``. Lines beyond the shorter
     side are kept, marked ``source_only`` or ``reference_only``; ``strict``
     raises instead, before any pairing is done.
     """
     if strict:
         require_aligned(source, reference)
+    if position is None:
+        position = "position" if {"position"} <= set(source.columns) & set(reference.columns) else "line_no"
     s = source.select(F.col(position).alias("seg_id"), F.col("text").alias("source"),
                       F.lit(True).alias("in_source"))
     r = reference.select(F.col(position).alias("seg_id"), F.col("text").alias("reference"),

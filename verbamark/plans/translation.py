@@ -14,7 +14,7 @@ from verbamark.sources.tables import write_candidates
 
 
 def translate_corpus(source: DataFrame, reference: DataFrame, translators: Mapping[str, Translator],
-                     *, position: str = "line_no", strict: bool = True,
+                     *, position: str | None = None, strict: bool = True,
                      **hook: object) -> tuple[DataFrame, DataFrame]:
     """``(candidates, attempts)`` of every system for every aligned segment.
 

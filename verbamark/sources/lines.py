@@ -2,65 +2,88 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbamark.functions.text import split_lines, strip
+from verbamark.operators.positions import prefix_sums
 from verbamark.session import stage
 
 
-def read_lines(spark: SparkSession, corpora: Mapping[str, str | Sequence[str]]) -> DataFrame:
-    """Stripped lines of UTF-8 files as ``(corpus, file, line_no, text)``.
+MAX_SPLITS_BROADCAST = 200_000
+MOVED = "the splits of the files changed while their lines were numbered"
+
 
-    ``corpora`` names each corpus and its paths. Lines count from 1 in each
-    file, blank ones included. Files are read in splits; within a split the
-    row id follows the file, so a line's number is the count of lines in
-    earlier splits of its file plus its distance from the split's first row.
-    Only the per-split counts are gathered, never the lines of a file.
+def read_lines(spark: SparkSession, corpora: Mapping[str, str | Sequence[str]]) -> DataFrame:
+    """Stripped lines of UTF-8 files as ``(corpus, file, line_no, position, text)``.
 
-    A path named twice is refused, as its lines could not be told apart.
+    ``corpora`` names each corpus and its paths. ``line_no`` counts from 1 in
+    each file, blank lines included, ``position`` over all files of the corpus
+    in the given order, those of a folder or pattern by name. A path named
+    twice is refused, as its lines could not be told apart.
 
-    The scan is written out before it is counted: row ids depend on how splits
-    are packed into tasks, which may change from one run to the next.
+    Files are read in splits, once for the number of lines of each split and
+    once for the lines. The counts are summed over the splits of a file and
+    over the files of a corpus; a line's number is the sum before its split
+    plus its distance from the split's first row, so no line is moved or
+    written. Row ids within a split would shift if Spark packed the splits
+    otherwise the second time; a line beyond its split's count would be the
+    result, and is an error.
     """
+    whole = None
     for corpus, paths in corpora.items():
-        if not isinstance(paths, str) and len(set(paths)) < len(paths):
+        given = [paths] if isinstance(paths, str) else list(paths)
+        if len(set(given)) < len(given):
             raise ValueError(f"a path of {corpus!r} is named more than once")
-    scans = [
-        spark.read.text([paths] if isinstance(paths, str) else list(paths)).select(
-            F.lit(corpus).alias("corpus"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-            F.monotonically_increasing_id().alias("row_id"),
-            strip(F.col("value")).alias("text"),
-        )
-        for corpus, paths in corpora.items()
-    ]
-    # corpora are staged one by one, as a union would renumber the tasks
-    rows = [stage(scan, "lines") for scan in scans]
-    numbered = [_number_file_lines(r) for r in rows]
-    whole = numbered[0]
-    for more in numbered[1:]:
-        whole = whole.unionByName(more)
+        rows = _scan(spark, given)
+        numbered = _numbered(rows, _starts(rows, _in_order(spark, given)))
+        lines = numbered.select(F.lit(corpus).alias("corpus"), "file", "line_no", "position", "text")
+        whole = lines if whole is None else whole.unionByName(lines)
     return whole
 
 
-def _number_file_lines(rows: DataFrame) -> DataFrame:
-    earlier = (Window.partitionBy("file").orderBy("split_start")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    splits = (
-        rows.groupBy("file", "split_start")
-        .agg(F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-        .select("file", "split_start", "first_id",
-                F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    )
-    # staged so that its size on disk decides whether Spark broadcasts it
-    splits = stage(splits, "splits")
-    line_no = F.col("before") + F.col("row_id") - F.col("first_id") + 1
-    return rows.join(splits, ["file", "split_start"]).select(
-        "corpus", "file", line_no.alias("line_no"), "text")
+def _scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split_start"),
+        F.monotonically_increasing_id().alias("row_id"), strip(F.col("value")).alias("text"))
+
+
+def _in_order(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``(file, file_no)`` of all files of a corpus; their names are on the driver anyway, as Spark lists them there."""
+    seen: dict[str, int] = {}
+    for path in paths:
+        # a local file's address has one slash in a row's metadata and three in the listing
+        for file in sorted(re.sub("^file:/+", "file:/", f) for f in spark.read.text(path).inputFiles()):
+            if file in seen:
+                raise ValueError(f"{file} belongs to more than one path of its corpus")
+            seen[file] = len(seen)
+    return spark.createDataFrame(list(seen.items()), "file string, file_no long")
+
+
+def _starts(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Per split its first row id, its number of lines, and the lines before it in its file and its corpus."""
+    splits = stage(rows.groupBy("file", "split_start").agg(F.min("row_id").alias("first_id"), F.count("*").alias("n")), "splits")
+    in_file = prefix_sums(splits, ["file"], "split_start", "n").withColumnRenamed("before", "in_file")
+    sizes = splits.groupBy("file").agg(F.sum("n").alias("n")).join(files, "file")
+    in_corpus = prefix_sums(sizes.withColumn("corpus", F.lit(0)), ["corpus"], "file_no", "n", width=32)
+    starts = stage(in_file.join(in_corpus.select("file", F.col("before").alias("in_corpus")), "file"), "line-starts")
+    n = starts.count()
+    if n != splits.count():
+        raise RuntimeError("the files changed while their lines were numbered")
+    # one row per split of perhaps 128 MB: few enough to go to every task, or else lines and splits are shuffled
+    return F.broadcast(starts) if n <= MAX_SPLITS_BROADCAST else starts
+
+
+def _numbered(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    joined = rows.join(starts, ["file", "split_start"], "left")
+    at = F.col("row_id") - F.col("first_id")
+    known, moved = (at >= 0) & (at < F.col("n")), F.raise_error(F.lit(MOVED)).cast("long")
+    in_file = F.col("in_file") + at + 1
+    return joined.select("file", F.when(known, in_file).otherwise(moved).alias("line_no"),
+                         F.when(known, F.col("in_corpus") + in_file).otherwise(moved).alias("position"), "text")
 
 
 def lines_of(texts: DataFrame, text: str, *keys: str) -> DataFrame:

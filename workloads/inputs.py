@@ -31,11 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English texts are the source corpus, all others the reference corpus."""
     corpus = F.when(F.col("lang") == "en", "source").otherwise("reference")
-    docs = table(spark, sf_dir, "documents").select("doc_id", corpus.alias("corpus"), "text")
-    return lines_of(docs, "text", "corpus", "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", corpus.alias("corpus"), "text")
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines_of(corpora(spark, sf_dir), "text", "corpus", "doc_id")
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,9 +54,7 @@ def clean(spark, d):
 
 
 def align_segments(spark, d):
-    numbered = al.number_across(i.lines(spark, d))
-    source, reference = (numbered.where(F.col("corpus") == c) for c in ("source", "reference"))
-    return al.align(source, reference, "position")
+    return al.align_corpora(al.number_texts(i.corpora(spark, d)))
 
 
 def alignment_check(spark, d):
