@@ -130,7 +130,7 @@ def test_whole_run(spark, tmp_path):
     candidates.count(), attempts.count()
     assert len(calls.read_text()) == 2 * (5 + 3)  # staged: nothing called twice
 
-    wide = tables.read_candidates(spark, f"{store}/Total", systems)
+    wide = tables.read_total(spark, store, systems)
     assert wide.count() == 6 and wide.where("A IS NULL").count() == 1
     one = tables.read_system(spark, store, "B")
     assert one.count() == 6
@@ -150,7 +150,7 @@ def test_whole_run(spark, tmp_path):
     table = tables.read_table(spark, str(tmp_path / "results"), metrics.WITH_REFERENCE)
     assert table.count() == 7
     assert table.where("source = 'Average'").first().A_score == 1.0
-    flat = tables.read_table(spark, str(tmp_path / "results"), "A")
+    flat = tables.read_judged(spark, str(tmp_path / "results"), "A")
     assert flat.columns == ["seg_id", "source", "reference", "A", "error_type", "severity", "explanation", "score"]
 
     charts = report.chart_tables(scores, judged)

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from verbamark.session import discard, shared_folder, spread, stage
 from verbamark.sources import tables
@@ -26,7 +26,7 @@ def test_named_tables_replace_and_append(spark, tmp_path):
     assert tables.read_table(spark, store, "x").count() == 2
     assert tables.read_table(spark, store, "a/b c").count() == 2
     tables.append_tables({"y": one}, store)
-    with pytest.raises(AnalysisException):
+    with pytest.raises(tables.TableExists):
         tables.append_tables({"x": one}, store)
     assert tables.read_table(spark, store, "x").count() == 2
 
@@ -64,3 +64,51 @@ def test_discarded_tables_are_gone(spark, tmp_path):
     staged = stage(spark.range(3), "three")
     discard(staged, spark.range(1))
     assert not os.path.exists(staged.staged_path.removeprefix("file:"))
+
+
+def broken(spark):
+    return spark.range(3).select(F.raise_error(F.lit("lost half way")).cast("long").alias("id"))
+
+
+def test_a_failed_write_leaves_the_old_set(spark, tmp_path):
+    directory = str(tmp_path / "store")
+    store = tables.TableStore(spark, directory)
+    assert store.names() == [] and store.version() == 0
+    tables.write_tables({"x": spark.range(1), "y": spark.range(1)}, directory)
+    for append, names in ((False, ("x", "y")), (True, ("u", "v"))):
+        with pytest.raises(Exception, match="lost half way"):
+            store.write({names[0]: spark.range(9), names[1]: broken(spark)}, append=append)
+        assert store.names() == ["x", "y"] and [store.read(n).count() for n in ("x", "y")] == [1, 1]
+    with pytest.raises(FileNotFoundError):
+        tables.read_table(spark, directory, "u")
+    held = store.read("x")
+    tables.write_tables({"x": spark.range(5)}, directory)
+    assert store.read("x").count() == 5 and store.read("y").count() == 1
+    assert held.count() == 1  # what a reader holds stays as it was
+    store.vacuum(older_than=3600)
+    assert held.count() == 1
+    store.vacuum(older_than=-60)
+    assert store.read("x").count() == 5 and store.read("y").count() == 1 and store.version() == 2
+    # the version of x and y, and that of the new x; what failed writes left is gone
+    assert len([f for f in os.listdir(directory) if f.startswith("version-")]) == 2
+    assert len([f for f in os.listdir(directory) if f.startswith("manifest-")]) == 1
+
+
+def test_two_writers_cannot_publish_one_version(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path / "store"))
+    store.write({"x": spark.range(1)})
+    with pytest.raises(tables.WriteConflict):
+        store._publish(1, {"x": "elsewhere"})
+    assert store.read("x").count() == 1 and store.version() == 1
+    assert not [f for f in os.listdir(tmp_path / "store") if f.startswith(".") and not f.endswith(".crc")]
+
+
+def test_judgements_of_all_systems_are_one_write(spark, tmp_path, sorted_rows):
+    wide = spark.createDataFrame([(1, "s", "r", "a1", None), (2, "t", "q", "a2", "b2")], WIDE)
+    exported = spark.createDataFrame([(1, "A", "Grammar", "3", "e", 0.5), (2, "B", "", "", "", 1.0)],
+                                     "seg_id long, system string, error_type string, severity string, explanation string, score double")
+    tables.write_tables({tables.JUDGED: tables.judged_tables(wide, exported, ["A", "B"])}, str(tmp_path / "store"))
+    flat = tables.read_judged(spark, str(tmp_path / "store"), "B")
+    assert flat.columns == ["seg_id", "source", "reference", "B", "error_type", "severity", "explanation", "score"]
+    assert sorted_rows(flat) == [(1, "s", "r", None, None, None, None, None), (2, "t", "q", "b2", "", "", "", 1.0)]
+    assert "PartitionFilters: [isnotnull(system" in flat._jdf.queryExecution().toString()
