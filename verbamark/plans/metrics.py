@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbamark.functions.stats import known
+from verbamark.functions.stats import known, mean
 from verbamark.operators.hooks import apply_scorer
 from verbamark.operators.scores import score_table_with_average, scoring_input
 from verbamark.session import stage
@@ -55,7 +55,7 @@ def metric_scorecard(scores: DataFrame, metrics: Sequence[str] = METRICS) -> Dat
     columns = []
     for m in metrics:
         of_metric = F.when(F.col("metric") == m, score)
-        columns += [F.count(of_metric).alias(f"{m}_n"), F.avg(of_metric).alias(f"{m}_mean")]
+        columns += [F.count(of_metric).alias(f"{m}_n"), mean(of_metric).alias(f"{m}_mean")]
     return scores.groupBy("system").agg(*columns)
 
 
