@@ -128,7 +128,7 @@ def test_replies_are_parsed_once(spark):
     from verbamark.operators.breakdown import count_errors, error_names
     counted = count_errors(error_names(ju.parse_reports(replies(spark, "x"))))
     plan = counted._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 1
+    assert plan.count("VariantExpressionEvalUtils.parseJson") == 1
 
 
 def test_rules(spark):
@@ -145,6 +145,22 @@ def test_a_severity_sent_as_text_is_read_and_an_unreadable_one_is_flagged(spark)
     sent = [call([error(severity="7"), error(severity="high"), error(severity=None), error(severity={"a": 1})])]
     r, = parsed(spark, sent)
     assert r.status == "ok"
-    assert [str(e.severity) for e in r.errors] == ["7.0", "nan", "None", "nan"]
+    assert [str(e.severity) for e in r.errors] == ["7.0", "None", "None", "None"]
+    assert [e.severity_sent for e in r.errors] == ["7", "high", None, '{"a":1}']
     flagged, = ju.report_validity(ju.parse_reports(replies(spark, sent))).collect()
     assert (flagged.n_bad_severity, flagged.valid) == (2, False)
+    scored = ju.parse_reports(replies(spark, sent)).select(ju.severity_score(F.col("errors")).alias("v"))
+    assert scored.first().v == pytest.approx(1 - 7 / 50)
+    exported, = ju.export_judgements(ju.parse_reports(replies(spark, sent))).collect()
+    assert exported.severity == '7, high, None, {"a":1}'
+
+
+def test_text_behind_the_list_and_fields_that_are_no_texts(spark):
+    whole = json.dumps([call([error()], 1)])
+    found = parsed(spark, whole + " done", whole + ", 5", whole[:-1] + "]]", "[1]] , [[2]", f' {whole}\n', "[] []", whole + whole,
+                   [call([error(explanation=5)], 1)], [call([error(), error(source_chunk=["s"])], 1)], [call([7], 1)],
+                   [call({"a": 1}, 1)], [7], '{"a": 1}', "[]")
+    assert [r.status for r in found] == ["garbage", "garbage", "garbage", "garbage", "ok", "garbage", "garbage", "void", "void",
+                                         "void", "void", "void", "garbage", "empty"]
+    lenient = parsed(spark, [call([error(), error(target_chunk=True)], 1)], strict=False)
+    assert [len(r.errors) for r in lenient] == [1]

@@ -46,7 +46,7 @@ def rule_errors(source: Column, text: Column, reference: Column) -> Column:
         fact = F.get(facts, k)
         values = {"source_chunk": source, "target_chunk": F.coalesce(text, F.lit("")), "reference_chunk": reference,
                   "error_type": fact["name"], "severity": fact["severity"], "explanation": fact["why"]}
-        return F.struct(*[values[f.name].alias(f.name) for f in ERROR])
+        return F.struct(*[values[f.name].alias(f.name) for f in ERROR], F.lit(None).cast("string").alias("severity_sent"))
 
     return F.transform(held, error)
 

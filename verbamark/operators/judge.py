@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbamark.functions.text import PROMPT_LABELS, WHITESPACE, clean_text, judge_prompt, number_text
-from verbamark.schemas import ERROR, SCORE_RANGE, SENT_ERROR, SEVERITY_RANGE, TOOL_CALLS
+from verbamark.schemas import ERROR, SCORE_RANGE, SENT_ARGS, SENT_ERROR, SEVERITY_RANGE
 
 # a report without one of these is void; only the severity may be absent
 REQUIRED = ("source_chunk", "target_chunk", "reference_chunk", "error_type", "explanation")
 CLEANED = ("source_chunk", "target_chunk", "reference_chunk", "explanation")
+# closes the text of a reply, so that nothing behind its first value is passed over
+CLOSING = "end of reply"
 
 
 def _no_errors() -> Column:
@@ -27,49 +29,73 @@ def judge_prompts(candidates: DataFrame, with_reference: bool = True,
     return candidates.select("seg_id", "system", prompt.alias("prompt"))
 
 
+def _closed(text: Column) -> Column:
+    """The text as the first of two values of a list.
+
+    Spark reads the first value of a text and passes over the rest; within a
+    list that has to end as it should, the rest is an error.
+    """
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f', "{CLOSING}"]')))
+
+
+def _is_whole(closed: Column) -> Column:
+    return (F.size(F.try_variant_get(closed, "$", "array<variant>")) == 2) & (
+        F.try_variant_get(closed, "$[1]", "string") == CLOSING)
+
+
 def first_report(replies: DataFrame) -> DataFrame:
     """The first tool call of each reply, later ones ignored.
 
-    ``reply`` tells an answer that is no list (``garbage``) from an empty list
-    (``empty``) and from none at all (``missing``). A score given as null is 0.
+    ``reply`` tells an answer that is no list (``garbage``), or has text behind
+    the list, from an empty list (``empty``) and from none at all
+    (``missing``). A score given as null is 0. The errors are as they came.
     """
-    is_list = F.startswith(F.ltrim(F.col("tool_calls"), F.lit(WHITESPACE)), F.lit("["))
-    calls = F.when(is_list, F.from_json("tool_calls", TOOL_CALLS))
     # generated rather than projected: a filter on what is read from the calls
     # would otherwise be pushed below, and parse every reply once more
-    parsed = replies.select("seg_id", "system", "tool_calls",
-                            F.inline_outer(F.array(F.struct(calls.alias("calls")))))
-    reply = (F.when(F.col("tool_calls").isNull(), "missing").when(F.col("calls").isNull(), "garbage")
-             .when(F.size("calls") == 0, "empty").otherwise("report"))
-    first = parsed.select("seg_id", "system", reply.alias("reply"), F.get("calls", F.lit(0))["args"].alias("args"))
+    parsed = replies.select("seg_id", "system", "tool_calls", 
+                            F.inline_outer(F.array(F.struct(_closed(F.col("tool_calls")).alias("closed")))))
+    calls = F.when(_is_whole(F.col("closed")), F.try_variant_get("closed", "$[0]", "array<variant>"))
+    reply = (F.when(F.col("tool_calls").isNull(), "missing").when(calls.isNull(), "garbage")
+             .when(F.size(calls) == 0, "empty").otherwise("report"))
+    args = F.try_variant_get("closed", "$[0][0].args", SENT_ARGS.simpleString())
+    first = (parsed.select("seg_id", "system", reply.alias("reply"), args.alias("args"))
+             .withColumn("args", F.when(F.col("reply") == "report", F.col("args"))))
     given = F.col("args.scores")
     score = F.when(F.is_variant_null(given), 0.0).otherwise(F.try_variant_get(given, "$", "double"))
     report = F.struct(F.col("args.errors").alias("errors"), score.alias("scores"))
     return first.select("seg_id", "system", "reply", F.when(F.col("args").isNotNull(), report).alias("report"))
 
 
+def _is_text(sent: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(sent) == "STRING", F.lit(False))
+
+
 def _complete(error: Column) -> Column:
-    present = [error[f].isNotNull() for f in REQUIRED]
-    whole = present[0]
-    for p in present[1:]:
-        whole = whole & p
+    """Whether all required fields are there and are texts."""
+    whole = _is_text(error[REQUIRED[0]])
+    for field in REQUIRED[1:]:
+        whole = whole & _is_text(error[field])
     return whole
 
 
+def _text(sent: Column) -> Column:
+    return F.try_variant_get(sent, "$", "string")
+
+
 def _severity(sent: Column) -> Column:
-    """The number, also one sent as text; null if absent or null, NaN if it is no number."""
-    number = F.coalesce(F.try_variant_get(sent, "$", "double"), F.lit(float("nan")))
-    return F.when(sent.isNotNull() & ~F.is_variant_null(sent), number)
+    """The number, also one sent as text; null if absent, null or no number."""
+    return F.try_variant_get(sent, "$", "double")
 
 
 def _cleaned(error: Column) -> Column:
-    return F.struct(*[
-        (clean_text(error[f.name]) if f.name in CLEANED else _severity(error["severity"]) if f.name == "severity"
-         else error[f.name]).alias(f.name) for f in ERROR])
+    fields = [_severity(error[f.name]) if f.name == "severity" else
+              clean_text(_text(error[f.name])) if f.name in CLEANED else _text(error[f.name]) for f in ERROR]
+    return F.struct(*[c.alias(f.name) for c, f in zip(fields, ERROR)], _text(error["severity"]).alias("severity_sent"))
 
 
 def _counted(error: Column) -> Column:
-    return F.struct(error["error_type"].alias("error_type"), _severity(error["severity"]).alias("severity"))
+    return F.struct(_text(error["error_type"]).alias("error_type"), _severity(error["severity"]).alias("severity"),
+                    _text(error["severity"]).alias("severity_sent"))
 
 
 def parse_reports(replies: DataFrame, strict: bool = True, texts: bool = True) -> DataFrame:
@@ -77,8 +103,9 @@ def parse_reports(replies: DataFrame, strict: bool = True, texts: bool = True) -
 
     ``strict`` takes a report whole or not at all: one incomplete error or an
     absent score makes it ``void``. Otherwise incomplete errors are left out
-    and an absent score stays null. A severity that is no number is NaN, which
-    ``report_validity`` flags. Without a usable report ``errors`` and
+    and an absent score stays null. A required field that is no text counts as
+    absent. A severity that is no number is null, has no weight and is flagged
+    by ``report_validity``; ``severity_sent`` has it as it came. Without a usable report ``errors`` and
     ``score`` are null. Values out of range are kept as they came. Without
     ``texts`` the errors hold their type and severity only, which is all that
     counts and averages read.
@@ -122,9 +149,12 @@ def attach_judgements(candidates: DataFrame, judgements: DataFrame,
 
 
 def report_validity(judgements: DataFrame) -> DataFrame:
-    """Flag values outside the declared ranges; nothing is clamped."""
-    outside = F.filter(
-        F.col("errors.severity"), lambda s: s.isNotNull() & ~s.between(*map(F.lit, SEVERITY_RANGE)))
+    """Flag values outside the declared ranges, and severities that are no numbers; nothing is clamped."""
+    def bad(e: Column) -> Column:
+        unread = e["severity"].isNull() & e["severity_sent"].isNotNull()
+        return unread | F.coalesce(~e["severity"].between(*map(F.lit, SEVERITY_RANGE)), F.lit(False))
+
+    outside = F.filter("errors", bad)
     in_range = F.col("score").between(*map(F.lit, SCORE_RANGE))
     ok = F.col("status") == "ok"
     return judgements.select(
@@ -138,7 +168,7 @@ def report_validity(judgements: DataFrame) -> DataFrame:
 def export_judgements(judgements: DataFrame, on_failure: str = "zero") -> DataFrame:
     """Flat text columns, one row per judgement, for people to read."""
     filled = with_defaults(judgements, on_failure)
-    severities = F.transform(F.col("errors.severity"), lambda s: number_text(s, missing="None"))
+    severities = F.transform("errors", lambda e: F.coalesce(e["severity_sent"], number_text(e["severity"], missing="None")))
     return filled.select(
         "seg_id", "system",
         F.array_join("errors.error_type", ", ").alias("error_type"),

@@ -54,10 +54,12 @@ REPORT = T.StructType([
     T.StructField("scores", T.DoubleType()),
 ])
 
-# as sent: a severity may be a text, and a score given as null is told from one not given
-SENT_ERROR = T.StructType([T.StructField("severity", T.VariantType()) if f.name == "severity" else f for f in ERROR])
-TOOL_CALLS = T.ArrayType(T.StructType([T.StructField("args", T.StructType([
-    T.StructField("errors", T.ArrayType(SENT_ERROR)), T.StructField("scores", T.VariantType())]))]))
+# an error as a report gives it: the severity also as it was sent, which may be no number
+REPORTED_ERROR = T.StructType([*ERROR, T.StructField("severity_sent", T.StringType())])
+
+# nothing is read as a text or a number before its kind is known
+SENT_ERROR = T.StructType([T.StructField(f.name, T.VariantType()) for f in ERROR])
+SENT_ARGS = T.StructType([T.StructField("errors", T.ArrayType(SENT_ERROR)), T.StructField("scores", T.VariantType())])
 
 ATTEMPTS = T.StructType([
     T.StructField("seg_id", T.LongType()),

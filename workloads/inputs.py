@@ -23,6 +23,7 @@ NAMES = ["Mistranslation", "Grammar", "Unintelligible ", "Unintelligible", "Wron
          "Date Format"]
 
 
+SECOND_CALL = ',{"name":"ErrorReport","args":{"errors":[{"error_type":"Omission"}],"scores":0.9}}]'
 FIELDS = ("source_chunk", "target_chunk", "reference_chunk", "error_type", "severity", "explanation")
 FIELD_TYPES = ("string", "string", "string", "string", "bigint", "string")
 
@@ -96,7 +97,11 @@ def _error(name_key: Column, severity: Column) -> Column:
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Judge replies as JSON text: whole, incomplete, out of range, empty and garbage."""
+    """Judge replies as JSON text: whole, incomplete, out of range, empty and garbage, and some as judges send them.
+
+    These are made from whole ones by putting another value before the one
+    that was there, whose name is changed, or by text behind the list.
+    """
     seg, sysno = F.col("seg_id"), _sysno()
     a = seg + sysno
     one = F.array(_error(seg + sysno * 5, a % 13))
@@ -114,7 +119,19 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (F.when((seg * 7 + sysno) % 23 == 0, "garbage").when(a % 29 == 0, "[]")
             .when(a % 4 == 0, reply(F.array().cast("array<string>"))).when(a % 4 == 1, reply(one))
             .when(a % 19 == 2, reply(partial)).otherwise(reply(two)))
-    return raw_candidates(spark, sf_dir).select("seg_id", "system", text.alias("tool_calls"))
+    whole = raw_candidates(spark, sf_dir).select("seg_id", "system", text.alias("whole"))
+    odd, sent = (F.col("seg_id") * 5 + _sysno()) % 41, F.col("whole")
+
+    def instead(field: str, value: str, old: str) -> Column:
+        return F.replace(sent, F.lit(f'"{field}":'), F.lit(f'"{field}":{value},"{old}":'))
+
+    again = F.concat(F.substr(sent, F.lit(1), F.length(sent) - 1), F.lit(SECOND_CALL))
+    changed = (F.when(odd == 0, F.concat(sent, F.lit(" done"))).when(odd == 1, instead("explanation", "5", "said"))
+               .when(odd == 2, instead("severity", '"high"', "was")).when(odd == 3, instead("severity", '"7"', "was"))
+               .when(odd == 4, F.replace(sent, F.lit('"severity":'), F.lit('"weight":')))
+               .when(odd == 5, instead("scores", "null", "given"))
+               .when((odd == 6) & F.contains(sent, F.lit('"name"')), again).otherwise(sent))
+    return whole.select("seg_id", "system", changed.alias("tool_calls"))
 
 
 def _closeness(a: Column, b: Column) -> Column:
@@ -135,8 +152,9 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each vector as a source, the one after it as the candidate."""
-    e = table(spark, sf_dir, "embeddings")
+    """Each vector as a source, the one after it as the candidate; the last has none and keeps its row."""
+    # read as it lies: the join deals the rows anyway
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     source = e.select("vec_id", F.col("embedding").alias("source_vector"))
     candidate = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("candidate_vector"))
-    return source.join(candidate, "vec_id")
+    return source.join(candidate, "vec_id", "left")

@@ -14,6 +14,7 @@ WS = " || ".join(f"chr({c})" for c in WHITESPACE)
 SYSTEMS = [f"sys_{k}" for k in range(1, 7)]
 METRICS = ("MQM_reference", "reference_based", "reference_free")
 
+# Category and error names, as they must be matched.
 TYPOLOGY = """(VALUES
  ('Accuracy', 1, 'Mistranslation', 1), ('Accuracy', 1, 'Omission', 2), ('Accuracy', 1, 'Addition', 3),
  ('Accuracy', 1, 'Untranslated', 4), ('Accuracy', 1, 'Over-translation', 5),
@@ -109,15 +110,28 @@ def reply(errors: str) -> str:
   'args', json_object('errors', {errors}, 'scores', s))) AS VARCHAR)"""
 
 
-cte("replies", "raw", f"""
-SELECT seg_id, system, CASE WHEN (seg_id * 7 + n) % 23 = 0 THEN 'garbage' WHEN a % 29 = 0 THEN '[]'
+def instead(field: str, value: str, old: str) -> str:
+    return f"""replace(whole, '"{field}":', '"{field}":{value},"{old}":')"""
+
+
+cte("whole_replies", "raw", f"""
+SELECT seg_id, system, n, CASE WHEN (seg_id * 7 + n) % 23 = 0 THEN 'garbage' WHEN a % 29 = 0 THEN '[]'
   WHEN a % 4 = 0 THEN {reply("json_array()")}
   WHEN a % 4 = 1 THEN {reply(f"json_array({err('seg_id + n * 5', 'a % 13')})")}
   WHEN a % 19 = 2 THEN {reply(f"json_array({err('a', 'seg_id % 11')}, json_object('error_type', 'Grammar'))")}
-  ELSE {reply(f"json_array({err('seg_id * 3 + n', 'a % 11')}, {err('a', 'seg_id % 11')})")} END AS tool_calls
+  ELSE {reply(f"json_array({err('seg_id * 3 + n', 'a % 11')}, {err('a', 'seg_id % 11')})")} END AS whole
 FROM (SELECT *, seg_id + n AS a,
   CASE WHEN seg_id % 17 = 0 THEN 1.5::DOUBLE ELSE ((seg_id * 3 + n) % 10)::DOUBLE / 10 END AS s FROM raw)""")
 
+cte("replies", "whole_replies", f"""
+SELECT seg_id, system, CASE odd WHEN 0 THEN whole || ' done' WHEN 1 THEN {instead('explanation', '5', 'said')}
+  WHEN 2 THEN {instead('severity', '"high"', 'was')} WHEN 3 THEN {instead('severity', '"7"', 'was')}
+  WHEN 4 THEN replace(whole, '"severity":', '"weight":') WHEN 5 THEN {instead('scores', 'null', 'given')}
+  WHEN 6 THEN CASE WHEN contains(whole, '"name"') THEN left(whole, length(whole) - 1)
+    || ',{{"name":"ErrorReport","args":{{"errors":[{{"error_type":"Omission"}}],"scores":0.9}}}}]' ELSE whole END
+  ELSE whole END AS tool_calls
+FROM (SELECT *, (seg_id * 5 + n) % 41 AS odd FROM whole_replies)""")
+
 cte("first", "replies", """
 SELECT seg_id, system, reply, CASE WHEN reply = 'report' THEN json_extract(j, '$[0].args') END AS args
 FROM (SELECT seg_id, system, j, CASE WHEN tool_calls IS NULL THEN 'missing' WHEN j IS NULL THEN 'garbage'
@@ -129,16 +143,23 @@ def clean(field: str) -> str:
     return f"trim(replace(replace({field}, chr(10), ' '), chr(13), ''), {WS})"
 
 
-# one list of structs per reply; `full` is false where an error lacks a required field
+def text_of(field: str) -> str:
+    """A field's value if it is a text."""
+    return f"CASE WHEN json_type(e, '$.{field}') = 'VARCHAR' THEN json_extract_string(e, '$.{field}') END"
+
+
+# one list of structs per reply; an error lacks a required field that is no text. A score given as null is 0
 cte("reports", "first", f"""
-SELECT seg_id, system, reply, json_extract_string(args, '$.scores')::DOUBLE AS score,
+SELECT seg_id, system, reply, CASE WHEN json_type(args, '$.scores') = 'NULL' THEN 0
+    ELSE TRY_CAST(json_extract_string(args, '$.scores') AS DOUBLE) END AS score,
   list_transform(json_extract(args, '$.errors[*]'), lambda e: {{
-    'source_chunk': {clean("json_extract_string(e, '$.source_chunk')")},
-    'target_chunk': {clean("json_extract_string(e, '$.target_chunk')")},
-    'reference_chunk': {clean("json_extract_string(e, '$.reference_chunk')")},
-    'error_type': json_extract_string(e, '$.error_type'),
-    'severity': json_extract_string(e, '$.severity')::DOUBLE,
-    'explanation': {clean("json_extract_string(e, '$.explanation')")}}}) AS errors FROM first""")
+    'source_chunk': {clean(text_of('source_chunk'))},
+    'target_chunk': {clean(text_of('target_chunk'))},
+    'reference_chunk': {clean(text_of('reference_chunk'))},
+    'error_type': {text_of('error_type')},
+    'severity': TRY_CAST(json_extract_string(e, '$.severity') AS DOUBLE),
+    'explanation': {clean(text_of('explanation'))},
+    'severity_sent': json_extract_string(e, '$.severity')}}) AS errors FROM first""")
 
 FULL = ("e.source_chunk IS NOT NULL AND e.target_chunk IS NOT NULL AND e.reference_chunk IS NOT NULL "
         "AND e.error_type IS NOT NULL AND e.explanation IS NOT NULL")
@@ -161,9 +182,7 @@ cte("counts", "names typology", COUNT.format(names="names"))
 
 cte("exported", "judged", """
 SELECT seg_id, system, coalesce(array_to_string(list_transform(errors, lambda e: e.error_type), ', '), '') AS error_type,
-  coalesce(array_to_string(list_transform(errors, lambda e: CASE WHEN e.severity IS NULL THEN 'None'
-    WHEN e.severity = floor(e.severity) THEN CAST(CAST(e.severity AS BIGINT) AS VARCHAR)
-    ELSE CAST(e.severity AS VARCHAR) END), ', '), '') AS severity,
+  coalesce(array_to_string(list_transform(errors, lambda e: coalesce(e.severity_sent, 'None')), ', '), '') AS severity,
   coalesce(array_to_string(list_transform(errors, lambda e: e.explanation), chr(10)), '') AS explanation,
   coalesce(score, 0) AS score FROM judged""")
 
@@ -238,22 +257,26 @@ SELECT t.error_type, category, category_ord, error_ord, count(n.error_type) AS n
 FROM typology t LEFT JOIN names n ON t.error_type = n.error_type GROUP BY ALL"""),
     "category_members": statement("counts", """
 SELECT DISTINCT category, category_ord, error_type, error_ord FROM counts ORDER BY category_ord, error_ord"""),
+    # The labels of a prompt.
     "judge_prompts": statement("cand", """
 SELECT seg_id, system, '原文: ' || coalesce(source, 'nan') || ';中文: ' || coalesce(text, 'nan')
   || ';参考译文: ' || coalesce(reference, 'nan') AS prompt FROM cand"""),
     "parse_reports": statement("judged", """
 SELECT seg_id, system, status, score, CAST(k - 1 AS INT) AS at, errors[k].source_chunk AS source_chunk,
   errors[k].target_chunk AS target_chunk, errors[k].reference_chunk AS reference_chunk,
-  errors[k].error_type AS error_type, errors[k].severity AS severity, errors[k].explanation AS explanation
+  errors[k].error_type AS error_type, errors[k].severity AS severity, errors[k].explanation AS explanation,
+  errors[k].severity_sent AS severity_sent
 FROM (SELECT *, unnest(CASE WHEN len(errors) > 0 THEN range(1, len(errors) + 1) ELSE [NULL] END) AS k FROM judged)"""),
     "first_report": statement("first", """
 SELECT seg_id, system, reply, CAST(json_array_length(args, '$.errors') AS INT) AS n_errors,
-  json_extract_string(args, '$.scores')::DOUBLE AS score FROM first"""),
+  CASE WHEN json_type(args, '$.scores') = 'NULL' THEN 0
+  ELSE TRY_CAST(json_extract_string(args, '$.scores') AS DOUBLE) END AS score FROM first"""),
     "report_validity": statement("judged", """
 SELECT seg_id, system, status, CAST(len(errors) AS INT) AS n_errors, CAST(bad AS INT) AS n_bad_severity,
   score BETWEEN 0 AND 1 AS score_in_range,
   status = 'ok' AND coalesce(score BETWEEN 0 AND 1, false) AND coalesce(bad, 0) = 0 AS valid
-FROM (SELECT *, len(list_filter(errors, lambda e: e.severity < 0 OR e.severity > 10)) AS bad FROM judged)"""),
+FROM (SELECT *, len(list_filter(errors, lambda e: e.severity < 0 OR e.severity > 10
+  OR (e.severity IS NULL AND e.severity_sent IS NOT NULL))) AS bad FROM judged)"""),
     "judged_defaults": statement("cand judged", """
 SELECT c.seg_id, c.system, c.status AS text_status, coalesce(j.status, 'missing') AS status,
   CAST(coalesce(len(j.errors), 0) AS INT) AS n_errors, coalesce(j.score, 0) AS score
@@ -333,7 +356,7 @@ SELECT vec_id, round(CASE WHEN na * nb > 0 THEN d / (na * nb) END, 6) AS score F
       lambda k: a.embedding[k]::DOUBLE * b.embedding[k]::DOUBLE)) AS d,
     sqrt(list_sum(list_transform(a.embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS na,
     sqrt(list_sum(list_transform(b.embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS nb
-  FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)""".strip(),
+  FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1)""".strip(),
     "mqm_scorecard": statement("judged counts", """
 SELECT j.system, n_judged, n_failed, mean_score, n_errors, """
         + ", ".join(f'coalesce("{c}", 0) AS "{c}"' for c in CATEGORIES) + """
