@@ -10,7 +10,7 @@ from verbamark.operators.candidates import resolve_attempts
 from verbamark.operators.hooks import apply_judge, apply_scorer, apply_translators
 from verbamark.operators.judge import parse_reports
 from verbamark.plans import metrics, mqm, report, translation
-from verbamark.plans.timing import StageTimes
+from verbamark.plans.timing import RunMetrics, StageTimes
 from verbamark.sources import tables
 
 REPORT = ('[{"name": "r", "args": {"errors": [{"source_chunk": "s", "target_chunk": "t", "reference_chunk": "r",'
@@ -124,7 +124,8 @@ def test_whole_run(spark, tmp_path):
 
     times, systems = StageTimes(), ["A", "B"]
     with times.measure("translation"):
-        candidates, attempts = translation.translate_corpus(source, reference, {"A": paid, "B": paid})
+        counted = RunMetrics()
+        candidates, attempts = translation.translate_corpus(source, reference, {"A": paid, "B": paid}, metrics=counted)
         store = str(tmp_path / "store")
         translation.store_candidates(candidates, systems, store)
     candidates.count(), attempts.count()
@@ -136,7 +137,7 @@ def test_whole_run(spark, tmp_path):
     assert one.count() == 6
     assert "PartitionFilters: [isnotnull(system" in one._jdf.queryExecution().toString()
 
-    judged = mqm.judge_candidates(candidates, lambda p, s: REPORT)
+    judged = mqm.judge_candidates(candidates, lambda p, s: REPORT, metrics=counted)
     card = {r.system: r for r in mqm.mqm_scorecard(judged).collect()}
     assert (card["A"].n_judged, card["A"].n_failed, card["A"].n_errors, card["A"].Fluency) == (6, 1, 5, 5)
     assert card["A"].mean_score == pytest.approx(0.75 * 5 / 6)
@@ -144,7 +145,11 @@ def test_whole_run(spark, tmp_path):
 
     scorers = {metrics.WITH_REFERENCE: (lambda: lambda src, mt, ref: chrf(mt, ref), True),
                metrics.REFERENCE_FREE: (lambda: lambda src, mt: (src == mt).astype("float"), False)}
-    scores = metrics.score_candidates(candidates, scorers)
+    scores = metrics.score_candidates(candidates, scorers, metrics=counted)
+    figures = {r.stage: tuple(r)[2:] for r in counted.run_metrics(spark).collect()}
+    # attempts: two systems, one line of six fails three times
+    assert figures == {"translation": (6, 16, 6), "judging": (10, 10, 0), "scoring": (None, 24, 0)}
+    assert all(r.seconds > 0 for r in counted.table(spark).collect())
     assert scores.count() == 24 and scores.where("status = 'no text'").count() == 4
     metrics.store_metrics(wide, scores, systems, str(tmp_path / "results"))
     table = tables.read_table(spark, str(tmp_path / "results"), metrics.WITH_REFERENCE)

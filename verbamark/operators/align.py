@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from verbamark.functions.text import split_lines, strip
 from verbamark.operators.positions import BITS, prefix_sums
-from verbamark.session import stage
+from verbamark.session import discard, stage
 
 
 class AlignmentError(ValueError):
@@ -67,10 +67,9 @@ def align(source: DataFrame, reference: DataFrame, position: str | None = None,
     ``position`` is the column that numbers the lines of a corpus: if not
     named, ``position`` where both sides have it, else ``line_no``. Returns ``(seg_id, source, reference, side)``. Lines beyond the shorter
     side are kept, marked ``source_only`` or ``reference_only``; ``strict``
-    raises instead, before any pairing is done.
+    raises instead. It writes the pairs, counts both sides as it does so, and
+    goes on from what was written, so that nothing is read only to be counted.
     """
-    if strict:
-        require_aligned(source, reference)
     if position is None:
         position = "position" if {"position"} <= set(source.columns) & set(reference.columns) else "line_no"
     s = source.select(F.col(position).alias("seg_id"), F.col("text").alias("source"),
@@ -79,7 +78,19 @@ def align(source: DataFrame, reference: DataFrame, position: str | None = None,
                          F.lit(True).alias("in_reference"))
     side = (F.when(F.col("in_reference").isNull(), "source_only")
             .when(F.col("in_source").isNull(), "reference_only").otherwise("both"))
-    return s.join(r, "seg_id", "full_outer").select("seg_id", "source", "reference", side.alias("side"))
+    paired = s.join(r, "seg_id", "full_outer").select("seg_id", "source", "reference", side.alias("side"))
+    return _strictly(paired) if strict else paired
+
+
+def _strictly(paired: DataFrame) -> DataFrame:
+    counts = Observation()
+    written = stage(paired.observe(counts, F.count_if(F.col("side") != "reference_only").alias("n_source"),
+                                   F.count_if(F.col("side") != "source_only").alias("n_reference")), "aligned")
+    n = counts.get
+    if n["n_source"] != n["n_reference"]:
+        discard(written)
+        raise AlignmentError(f"source has {n['n_source']} lines, reference has {n['n_reference']}")
+    return written
 
 
 def aligned_only(aligned: DataFrame) -> DataFrame:

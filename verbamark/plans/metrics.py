@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from verbamark.functions.stats import known, mean
 from verbamark.operators.hooks import apply_scorer
 from verbamark.operators.scores import score_table_with_average, scoring_input
-from verbamark.session import stage
+from verbamark.plans.timing import RunMetrics
 from verbamark.sources.tables import append_tables
 
 WITH_REFERENCE, REFERENCE_FREE = "reference_based", "reference_free"
@@ -24,7 +24,7 @@ Loader = Callable[[], Callable[..., pd.Series]]
 
 def score_candidates(candidates: DataFrame, scorers: Mapping[str, tuple[Loader, bool]], *,
                      batch_rows: int | None = BATCH_ROWS, score_failures: bool = False,
-                     tasks: int | None = None) -> DataFrame:
+                     tasks: int | None = None, metrics: RunMetrics | None = None) -> DataFrame:
     """Long scores of each named scorer, given as ``(loader, takes_reference)``.
 
     Scores are staged, as models are dear. Every candidate has a row per
@@ -46,7 +46,7 @@ def score_candidates(candidates: DataFrame, scorers: Mapping[str, tuple[Loader,
             candidates.where(F.col("text").isNull())
             .select("seg_id", "system", metric, F.lit(None).cast("double").alias("score"),
                     F.lit("no text").alias("status"), F.lit(None).cast("string").alias("error")))
-    return stage(scored, "scores")
+    return (metrics or RunMetrics()).staged("scoring", scored, F.col("status") == "error", "scores")
 
 
 def metric_scorecard(scores: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:

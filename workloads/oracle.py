@@ -357,6 +357,31 @@ SELECT vec_id, round(CASE WHEN na * nb > 0 THEN d / (na * nb) END, 6) AS score F
     sqrt(list_sum(list_transform(a.embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS na,
     sqrt(list_sum(list_transform(b.embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS nb
   FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1)""".strip(),
+    "hooked_attempts": statement("segments", """
+SELECT seg_id, 'steady' AS system, CAST(1 AS INT) AS attempt, source || '!' AS text, CAST(NULL AS VARCHAR) AS error FROM segments
+UNION ALL SELECT seg_id, 'flaky', CAST(attempt AS INT), CASE WHEN turn <> 2 THEN 'Error' WHEN length(source) % 7 <> 0
+    THEN source || ' (' || (seg_id + attempt - 1) % 3 || ')' END, CASE WHEN turn = 0 THEN 'ConnectionError: busy' END
+FROM (SELECT *, min(CASE WHEN turn = 2 THEN attempt END) OVER (PARTITION BY seg_id) AS answered
+  FROM (SELECT *, (length(source) + (seg_id + attempt - 1) % 3) % 3 AS turn
+    FROM segments, (VALUES (1), (2), (3)) t(attempt))) WHERE attempt <= coalesce(answered, 3)"""),
+    "hooked_judgements": statement("cand", """
+SELECT seg_id, system, text_status, outcome AS status, CASE WHEN outcome = 'ok' THEN (n % 10)::DOUBLE / 10 ELSE 0 END AS score,
+  CAST(CASE WHEN outcome = 'ok' AND n % 3 <> 0 THEN 1 ELSE 0 END AS INT) AS n_errors,
+  CASE WHEN outcome = 'ok' AND n % 3 <> 0 THEN (['Mistranslation', 'Grammar', 'Unintelligible ', 'Unintelligible', 'Wrong Term',
+    'Register', 'Date Format'])[n % 7 + 1] END AS error_type,
+  CAST(CASE WHEN n IS NULL THEN NULL WHEN n % 11 = 0 OR n % 13 = 0 THEN 3 ELSE 1 END AS INT) AS judge_calls,
+  CASE WHEN n % 11 = 0 THEN 'RuntimeError: quota' WHEN n % 13 = 0 THEN NULL WHEN n % 17 = 0 THEN 'ValueError: odd' END AS judge_error
+FROM (SELECT *, CASE WHEN n IS NULL OR n % 11 = 0 THEN 'missing' WHEN n % 13 = 0 THEN 'empty' WHEN n % 17 = 0 THEN 'missing'
+    ELSE 'ok' END AS outcome
+  FROM (SELECT seg_id, system, status AS text_status, CASE WHEN text IS NOT NULL THEN length('原文: ' || coalesce(source, 'nan')
+    || ';中文: ' || text || ';参考译文: ' || coalesce(reference, 'nan')) END AS n FROM cand))"""),
+    "score_pixels": statement("scores", """
+SELECT DISTINCT metric, system, unnest([a.seg_id, b.seg_id, c.seg_id, d.seg_id]) AS seg_id,
+  unnest([a.score, b.score, c.score, d.score]) AS score
+FROM (SELECT metric, system, min({'seg_id': seg_id, 'score': score}) AS a, max({'seg_id': seg_id, 'score': score}) AS b,
+    min({'score': score, 'seg_id': seg_id}) AS c, max({'score': score, 'seg_id': seg_id}) AS d
+  FROM (SELECT *, (seg_id - min(seg_id) OVER ()) * 500 // (max(seg_id) OVER () - min(seg_id) OVER () + 1) AS pixel
+    FROM scores WHERE score IS NOT NULL) GROUP BY metric, system, pixel)"""),
     "mqm_scorecard": statement("judged counts", """
 SELECT j.system, n_judged, n_failed, mean_score, n_errors, """
         + ", ".join(f'coalesce("{c}", 0) AS "{c}"' for c in CATEGORIES) + """

@@ -17,13 +17,15 @@ from verbamark.operators import judge as ju
 from verbamark.operators import score as sc
 from verbamark.operators import scores as st
 from verbamark.operators.annotate import annotate
+from verbamark.operators.hooks import apply_translators
 from verbamark.plans.metrics import METRICS, REFERENCE_FREE, WITH_REFERENCE, metric_scorecard
-from verbamark.plans.mqm import mqm_scorecard
+from verbamark.plans.mqm import judge_candidates, mqm_scorecard
 from verbamark.schemas import typology_table
 from verbamark.sources.lines import lines_of
 from workloads import inputs as i
 
-N_SLOTS = 4
+N_SLOTS, N_KEYS = 4, 3
+CHART_WIDTH = 500
 
 
 def _r(column: str | Column, name: str | None = None) -> Column:
@@ -231,6 +233,45 @@ def score_reference_free(spark, d):
     return scored.select("vec_id", _r("score"))
 
 
+def hooked_attempts(spark, d):
+    """Attempts of two translators, one of which fails on some slots."""
+    def flaky(source: str, slot: int) -> str | None:
+        turn = (len(source) + slot) % N_KEYS
+        if turn == 0:
+            raise ConnectionError("busy")
+        if turn == 1:
+            return "Error"
+        return None if len(source) % 7 == 0 else f"{source} ({slot})"
+
+    translators = {"steady": lambda source, slot: f"{source}!", "flaky": flaky}
+    return apply_translators(i.segments(spark, d), translators, slots=N_KEYS)
+
+
+def hooked_judgements(spark, d):
+    """Every candidate with the judgement of a judge that reads no more than its prompt's length."""
+    names = i.NAMES
+
+    def judge(prompt: str, slot: int) -> list:
+        n = len(prompt)
+        if n % 11 == 0:
+            raise RuntimeError("quota")
+        if n % 13 == 0:
+            return []
+        if n % 17 == 0:
+            raise ValueError("odd")
+        error = {"source_chunk": "s", "target_chunk": "t", "reference_chunk": "r", "error_type": names[n % 7],
+                 "severity": n % 12, "explanation": "e"}
+        return [{"name": "ErrorReport", "args": {"errors": [error] if n % 3 else [], "scores": n % 10 / 10}}]
+
+    judged = judge_candidates(i.candidates(spark, d), judge, retry_on=lambda e: "quota" in str(e))
+    return judged.select("seg_id", "system", "text_status", "status", "score", F.size("errors").alias("n_errors"),
+                         F.get("errors.error_type", F.lit(0)).alias("error_type"), "judge_calls", "judge_error")
+
+
+def score_pixels(spark, d):
+    return st.series_at_width(i.scores(spark, d), CHART_WIDTH)
+
+
 def mqm_card(spark, d):
     return _rounded(mqm_scorecard(_judged(spark, d)), "mean_score")
 
@@ -278,6 +319,9 @@ QUERIES = {
     "severity_score": severity_score,
     "score_with_reference": score_with_reference,
     "score_reference_free": score_reference_free,
+    "hooked_attempts": hooked_attempts,
+    "hooked_judgements": hooked_judgements,
+    "score_pixels": score_pixels,
     "mqm_scorecard": mqm_card,
     "metric_scorecard": metric_card,
 }
