@@ -1,5 +1,6 @@
 """Pseudonyms, languages, quality, packing, mixing and page texts on small tables."""
 
+import re
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ from verbamark.llm.language import identify
 from verbamark.llm.mixing import mix, rake
 from verbamark.llm.packing import best_fill, pack
 from verbamark.llm.page_text import main_text
-from verbamark.llm.pii import PATTERNS, kind_of, pseudonymise
+from verbamark.llm.pii import PATTERNS, feistel, kind_of, pseudonymise
 from verbamark.llm.quality import classify
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +45,53 @@ def test_pseudonyms_keep_format_and_link_values(spark):
     assert pseudonymise(df.limit(0), "key").columns == df.columns
 
 
+def test_secrets_are_never_left(spark):
+    digits = ["4349000490986232", "4111111111111112", "1234567890123456", "9" * 13, "8" * 19, "AKIA", "2024-02-31"]
+    texts = [f"password={d}" for d in digits[:5]] + [f'api_key: "{d}" and so on' for d in digits[:5]]
+    texts += ["token = " + "a1B2" * 3, "password: " + "Zz9_" * 1000, "secret=" + "7" * 5000, "token=" + "x" * 512 + "4111111111111112"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    rows = {r.doc_id: r.text for r in pseudonymise(df, "key").collect()}
+    for k, t in enumerate(texts):
+        value = re.split("[=:]", t)[1].strip(' "').split('"')[0]
+        assert value not in rows[k] and len(rows[k]) == len(t) and rows[k][:5] == t[:5]
+        # not a tail of it either
+        assert value[-16:] not in rows[k][-40:]
+    assert len({rows[k].split("=")[-1] for k in range(5)}) == 5
+
+
+def test_hard_texts_neither_end_the_job_nor_keep_an_address(spark):
+    hard = ["x@" + "a." * 100_000, "x@" + "a." * 100_000 + "com", "a" * 1_000_000, "1" * 1_000_000, "a." * 300_000 + "@b.com",
+            "=" + "ab1_" * 250_000, "@" * 100_000, "1-" * 200_000, "+1 " * 100_000]
+    plain = ["jörg@example.com", "ask müller.ß@mail.example.org.", "a@b.com.1", "x@10.0.0.1", "a@b", "a@b.c", "u@v-w.co.uk,"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(hard + plain)], "doc_id long, text string")
+    rows = [r.text for r in pseudonymise(df, "key").orderBy("doc_id").collect()]
+    address = len(hard) + 3  # an address of a machine may change its length
+    assert [len(r) for k, r in enumerate(rows) if k != address] == [len(t) for k, t in enumerate(hard + plain) if k != address]
+    found = rows[len(hard):]
+    assert "rg@" not in found[0] and found[0].endswith(".com") and found[0][1] == "ö" and found[0][0] != "j"
+    assert found[1].startswith("ask ") and "ller" not in found[1] and found[1].endswith(".org.")
+    assert "a@b.com" not in found[2] and found[4:6] == plain[4:6] and found[3] != plain[3] and found[6].endswith(".uk,") and found[6] != plain[6]
+
+
+def test_the_key_can_stay_out_of_the_plan(spark, tmp_path):
+    (tmp_path / "key").write_text("a very private key\n")
+    df = spark.createDataFrame([(1, "ssn 123-45-6789", "k")], "doc_id long, text string, key string")
+    shown, hidden = pseudonymise(df, "a very private key"), pseudonymise(df, key_file=str(tmp_path / "key"))
+    assert shown.collect() == hidden.collect() and hidden.columns == df.columns
+    assert "private" not in hidden._jdf.queryExecution().toString()
+    with pytest.raises(ValueError):
+        pseudonymise(df)
+
+
+def test_the_network_permutes_a_small_format(spark):
+    """Brute force: all numbers of two places, of bases 10 and 7, come out once each."""
+    values = [(a, b) for a in range(10) for b in range(7)]
+    df = spark.createDataFrame([([a, b],) for a, b in values], "v array<long>")
+    for key in ("k1", "k2"):
+        new = df.select(feistel(F.col("v"), F.array(F.lit(10), F.lit(7)).cast("array<long>"), F.lit(key), F.lit("x")).alias("n"))
+        assert sorted(tuple(r.n) for r in new.collect()) == values
+
+
 def test_pseudonyms_are_one_to_one_and_valid(spark):
     cards = [f"4{k:014d}" for k in range(300)]
     cards = [c + next(d for d in "0123456789" if luhn(c + d)) for c in cards]

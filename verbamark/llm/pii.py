@@ -12,6 +12,8 @@ ones in every document.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +21,17 @@ ROUNDS = 10
 DATE_START, DATE_DAYS, DATE_BASE = "1900-01-01", 73049, 4297  # 1900 to 2099: 17 * 4297 days
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+LABEL = r"(?:token|password|passwd|secret|api_key)\s{0,2}[=:]\s{0,2}[\"']?"
+CHUNK = 512
 # fixed forms, the more specific first
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    # possessive and bounded throughout: a group repeated otherwise costs Java a stack frame a time
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,256}+@(?=[A-Za-z0-9.-]{1,253}\.[A-Za-z]{2}|[A-Za-z0-9-]{1,63}\.[A-Za-z]{2})"
+             r"[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,127}+",
     "secret": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
-              r"|(?<=[=:\s\"'])(?=[A-Za-z0-9_\-]{12})(?<=(?:token|password|passwd|secret|api_key)\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9_\-]{12,}+",
+              rf"|(?<=[=:\s\"'])(?=[A-Za-z0-9_\-]{{12}})(?<={LABEL})[A-Za-z0-9_\-]{{12,{CHUNK}}}+"
+              # a longer one goes on where the last match ended
+              rf"|\G(?<=[A-Za-z0-9_\-]{{{CHUNK}}})[A-Za-z0-9_\-]{{1,{CHUNK}}}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ipv4": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![0-9-])",
@@ -49,13 +57,13 @@ def _joined(parts: Column) -> Column:
     return F.array_join(parts, "")
 
 
-def _shift(key: str, kind: Column, step: Column, other: Column, place: Column) -> Column:
+def _shift(key: Column, kind: Column, step: Column, other: Column, place: Column) -> Column:
     """A number below 2**48 from the key, the kind, the round, the other half as text and the place to shift."""
-    seed = F.concat_ws("|", F.lit(key), kind, step.cast("string"), (place / 5).cast("int").cast("string"), other)
+    seed = F.concat_ws("|", key, kind, step.cast("string"), (place / 5).cast("int").cast("string"), other)
     return F.conv(F.substr(F.sha2(seed, 256), (F.pmod(place, F.lit(5)) * 12 + 1).cast("int"), F.lit(12)), 16, 10).cast("long")
 
 
-def feistel(values: Column, bases: Column, key: str, kind: Column, rounds: int = ROUNDS) -> Column:
+def feistel(values: Column, bases: Column, key: Column, kind: Column, rounds: int = ROUNDS) -> Column:
     """Permute lists of numbers ``0 <= values[i] < bases[i]``, one to one for each list of bases and kind."""
     pairs = F.zip_with(values, bases, lambda v, b: F.struct(v.alias("v"), b.alias("b")))
 
@@ -193,9 +201,12 @@ def _from_numbers(m: Column, kind: Column, v: Column) -> Column:
             .otherwise(F.call_function("date_format", day, _calendar(m)["form"])))
 
 
-def pseudonym(m: Column, key: str) -> Column:
+def pseudonym(m: Column, key: Column, secret: Column) -> Column:
     """The pseudonym of a match, or the match itself if its check fails.
 
+    ``secret`` says that the match is one by what stands before it, whatever
+    its form.
+
     Kept as they are: the part of an address after the last point, a card's
     first digit, an account's country, a phone number's country. Only the
     places that change take part, so that a number written with other blanks
@@ -222,20 +233,43 @@ def pseudonym(m: Column, key: str) -> Column:
         return let(plain, lambda t: F.when(kind == "card", _with_card_check(t)).when(kind == "iban", _with_iban_check(t))
                    .otherwise(t))
 
-    return let(kind_of(m), lambda kind: F.when(kind.isNull(), m).otherwise(replaced(kind)))
+    return let(F.when(secret, "secret").otherwise(kind_of(m)), lambda kind: F.when(kind.isNull(), m).otherwise(replaced(kind)))
 
 
-def pseudonymise(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
+def pseudonymise(documents: DataFrame, key: str | None = None, text: str = "text", key_file: str | None = None) -> DataFrame:
     """``documents`` with ``text`` rewritten; all other columns and the rows stay as they are.
 
     A null or empty text stays so. Texts are cut at their matches and put
     together again, so whatever is no match comes back unchanged at any
     length. Values whose check fails (a card number with a wrong check digit,
-    the 31st of February) are not personal data of that kind and stay.
+    the 31st of February) are not personal data of that kind and stay, unless
+    a word such as ``password`` before them says that they are secret. Letters
+    A-Z and digits are permuted, other letters of an address stay. A run of
+    more than 256 letters before an ``@`` is no address.
+
+    The key is given as it is, which shows it in plans and logs, or as the one
+    line of ``key_file``, which any reader of Spark's can be asked for; then
+    it is a column of a table of one row, and no plan holds it.
     """
+    if (key is None) == (key_file is None):
+        raise ValueError("give the key or the file that holds it")
     everything = "|".join(f"(?:{p})" for p in PATTERNS.values())
+    rows, secret_key = documents, F.lit(key)
+    if key_file is not None:
+        name = f"_key_{uuid.uuid4().hex}"
+        held = documents.sparkSession.read.text(key_file, wholetext=True).select(
+            F.assert_true(F.length(F.trim("value")) > 0).isNull().alias("_ok"), F.regexp_replace("value", r"\s+$", "").alias(name))
+        rows = documents.crossJoin(F.broadcast(held.where("_ok").select(name)))
+        secret_key = F.col(name)
     found = F.regexp_extract_all(text, F.lit(everything), 0)
     gaps = F.split(text, everything, -1)
-    rebuilt = F.array_join(F.flatten(F.zip_with(
-        gaps, found, lambda g, m: F.array(g, F.coalesce(pseudonym(m, key), F.lit(""))))), "")
-    return documents.withColumn(text, F.when(F.col(text).rlike(HINT), rebuilt).otherwise(F.col(text)))
+    parts = F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
+
+    def rewritten(part: Column, at: Column) -> Column:
+        # right behind another match there is only the rest of a long secret
+        told = F.right(part["gap"], F.lit(24)).rlike(f"{LABEL}$") | ((part["gap"] == "") & (at > 0))
+        return F.array(part["gap"], F.coalesce(pseudonym(part["match"], secret_key, told), F.lit("")))
+
+    rebuilt = F.array_join(F.flatten(F.transform(parts, rewritten)), "")
+    out = rows.withColumn(text, F.when(F.col(text).rlike(HINT), rebuilt).otherwise(F.col(text)))
+    return out.select(documents.columns)
