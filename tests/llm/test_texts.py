@@ -1,5 +1,6 @@
 """Pseudonyms, languages, quality, packing, mixing and page texts on small tables."""
 
+import random
 import re
 import zlib
 
@@ -213,3 +214,40 @@ def test_page_text(spark):
     assert all(text[10 + k] == f"text {k} of a page" for k in range(4))
     assert [text[k] for k in (20, 21, 22, 23, 24)] == ["", "", "cut off &am", "deep", "1 < 2"]
     assert main_text(df.limit(0)).count() == 0
+
+
+def filler(rng, n):
+    return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 8))) for _ in range(n))
+
+
+def test_templates_inside_and_around_articles_go(spark):
+    rng, pages, want = random.Random(8), [], {}
+
+    def page(host, body, text):
+        pages.append((len(pages), f"https://{host}/{len(pages)}", f"<html><body>{body}</body></html>"))
+        want[len(pages) - 1] = text
+
+    box = "<div class='promo-box'>Subscribe now and join our readers</div>"
+    for _ in range(30):  # the same box in every article
+        one, two = filler(rng, 20), filler(rng, 20)
+        page("boxes.example", f"<article><p>{one}</p>{box}<p>{two}</p></article>", f"{one} {two}")
+    for k in range(120):  # six equal sections with a rail each, around an element called content
+        one = filler(rng, 30)
+        page("sections.example", f"<div class='content'><p>{one}</p></div><div class='rail'>Section {k % 6} of our news</div>", one)
+    quote = filler(rng, 25)
+    for k in range(40):  # articles that quote each other
+        one = filler(rng, 20)
+        cited = f"<blockquote>{quote}</blockquote>" if k % 4 == 0 else ""
+        page("quotes.example", f"<article><p>{one}</p>{cited}</article>", f"{one} {quote}" if cited else one)
+    for name in ("post has-comments", "post no-sidebar related-posts"):  # a name that only holds a dropped one's
+        one = filler(rng, 20)
+        page("names.example", f"<article class='{name}'><p>{one}</p></article>", one)
+        page("names.example", f"<div class='content {name}'><p>{one}</p></div>", one)
+    one = filler(rng, 9)  # an element of a dropped name that holds the article
+    page("holds.example", f"<div class='widget'><article><p>{one}</p></article></div><div class='widget'>gone</div>", one)
+    page("holds.example", f"<div class='comments'>gone</div><main><p>{one}</p><div class='comments'>gone</div></main>", one)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in main_text(df.repartition(5)).collect()}
+    assert found == want
+    twice = main_text(df.unionAll(df)).collect()  # copies turn nothing into template
+    assert len(twice) == 2 * len(pages) and all(r.text == want[r.page_id] for r in twice)
