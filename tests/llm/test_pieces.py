@@ -9,6 +9,7 @@ import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2
 
+from verbamark.llm import merging
 from verbamark.llm import pieces as module
 from verbamark.llm.pieces import Encoder, decode, encode, read_model
 from verbamark.llm.queries import op12_pieces
@@ -47,7 +48,7 @@ def test_ids_and_texts_equal_the_librarys(model, library):
 
 
 def test_words_finished_from_a_queue_come_out_the_same(model, library, monkeypatch):
-    monkeypatch.setattr(module, "ROUNDS", 3)
+    monkeypatch.setattr(merging, "ROUNDS", 3)
     texts, encoder = odd_texts(300, 4), Encoder(model)
     ids, counts = encoder(texts)
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == library.encode(texts, num_threads=1)

@@ -9,6 +9,7 @@ used for as many windows as there are documents of these lengths.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections import Counter, defaultdict
@@ -21,22 +22,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verbamark.llm.merging import Merger, sooner_of
+
 END_ID = 1
 HOLD = 1 << 21
 WORDS_KEPT = 400_000
-BYTES_AT_ONCE = 1 << 24
+BYTES_AT_ONCE = 1 << 21
+# small letters below are their own normal form, and words of them one piece to the tokenizer
+PLAIN = "\u0250"
 WORD_END = "</w>"
 CLOSING = r"([a-z0-9])([.,])([\x20\x09-\x0D]|$)"
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in the vocabulary: itself if it can be seen, else one from U+0100 on."""
+    seen = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    others = (b for b in range(256) if b not in seen)
+    return [chr(b) if b in seen else chr(256 + k) for b, k in sorted([(b, 0) for b in seen] + [(b, k) for k, b in enumerate(others)])]
+
+
 class Encoder:
     """Ids of texts by a tokenizer that lower-cases, never joins across white space and marks the ends of words.
 
     Each different word is encoded once and looked up from then on. To see
     fewer of them, letters A-Z are lower-cased and a closing point or comma is
-    set apart first, which this kind of tokenizer does anyway.
+    set apart first, which this kind of tokenizer does anyway. New words of
+    small Latin letters are merged here, all at once; the others go to the
+    tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -45,8 +59,17 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
+        with open(path, encoding="utf-8") as file:
+            merges = json.load(file)["model"]["merges"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
+        size = max(vocabulary.values()) + 1
+        left, right, made = (np.array(x, np.int64) for x in zip(*[
+            (vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in pairs]))
+        keys, first = np.unique(left * size + right, return_index=True)
+        rank = first.astype(np.int32)
+        self.merger = Merger(size, keys, rank, made[first].astype(np.int32), sooner_of(size, keys, rank, made[first]))
+        letters = _byte_letters()
+        self.inner, self.last = (np.array([vocabulary[c + end] for c in letters], np.int32) for end in ("", WORD_END))
         self._forget()
 
     def _forget(self) -> None:
@@ -54,17 +77,23 @@ class Encoder:
         self.ids, self.size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w.isalpha() and w == w.lower()]
-        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, np.uint32)
-        size = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
-        if len(size) != len(plain):  # not one run of letters each after all
-            plain, ids, size = [], ids[:0], size[:0]
+        plain = [w for w in words if w.isalpha() and max(w) < PLAIN and w == w.lower()]
         known = set(plain)
         others = [w for w in words if w not in known]
         found = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
         self.place.update(zip(plain + others, range(len(self.place), len(self.place) + len(words))))
-        self.ids += [ids, np.array([k for f in found for k in f], np.uint32)]
-        self.size += [size, np.array([len(f) for f in found], np.int64)]
+        if plain:
+            held = [w.encode() for w in plain]
+            lengths = np.array([len(w) for w in held])
+            letters = np.frombuffer(b"".join(held), np.uint8)
+            symbols = self.inner[letters]
+            ends = np.cumsum(lengths) - 1
+            symbols[ends] = self.last[letters[ends]]
+            ids, of = self.merger.merge(symbols, np.repeat(np.arange(len(plain), dtype=np.int32), lengths))
+            self.ids.append(ids.astype(np.uint32))
+            self.size.append(np.bincount(of, minlength=len(plain)).astype(np.int64))
+        self.ids.append(np.array([k for f in found for k in f], np.uint32))
+        self.size.append(np.array([len(f) for f in found], np.int64))
 
     def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, and how many each has."""
@@ -99,7 +128,7 @@ class Encoder:
                 at += n
 
 
-def best_fill(counts: Counter, room: int) -> tuple[dict[int, int], int]:
+def best_fill(counts: dict[int, int], room: int) -> tuple[dict[int, int], int]:
     """Lengths and how many of each, of those in ``counts``, that fill ``room`` best, and what stays free."""
     reach, steps, full = 1, [], 1 << room
     for length in sorted((n for n in counts if n <= room), reverse=True):
@@ -135,7 +164,8 @@ class Packer:
         for start in range(0, whole, self.window):
             self._emit([(doc_id, start, ids[start:start + self.window], len(ids))])
         if whole < len(ids):
-            self._hold((doc_id, whole, ids[whole:], len(ids)))
+            # a copy, as a view would hold the whole document
+            self._hold((doc_id, whole, ids[whole:].copy(), len(ids)))
 
     def _hold(self, piece: tuple) -> None:
         n = len(piece[2])
@@ -161,9 +191,10 @@ class Packer:
         """Fill windows until fewer than ``until`` tokens are held, or too few for a full one."""
         while self.tokens >= max(until, self.window):
             longest = max(self.counts)
-            rest = self.counts.copy()
-            rest[longest] -= 1
-            chosen, slack = best_fill(+rest, self.window - longest)
+            rest = {n: k for n, k in self.counts.items() if n != longest or k > 1}
+            if longest in rest:
+                rest[longest] -= 1
+            chosen, slack = best_fill(rest, self.window - longest)
             need = Counter(chosen)
             need[longest] += 1
             for _ in range(1 if slack else min(self.counts[n] // k for n, k in need.items())):

@@ -1,18 +1,13 @@
 """Subword encoding and decoding with a byte-pair model of the sentencepiece library, by vectorised merge rounds.
 
-The symbols of all new words of a batch lie in one flat array. A round finds
-the least rank among the pairs of each word, merges the leftmost of the
-word's pairs of that rank at once, closes the gaps and sets finished words
-aside, until no pair is left. Words are cut where no piece of the vocabulary
-spans the two characters, so no merge is lost, and each is encoded once.
-Only a word that needs more than ``ROUNDS`` rounds is finished from a queue.
+All new words of a batch are merged at once (``merging``). Words are cut where
+no piece of the vocabulary spans the two characters, so no merge is lost, and
+each is encoded once.
 """
 
 from __future__ import annotations
 
 import codecs
-import heapq
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verbamark.llm.merging import Merger, sooner_of
 from verbamark.llm.sharing import share
 
 SPACE = "▁"
-NEVER = np.iinfo(np.int32).max
-GONE = np.iinfo(np.int32).min
-# a word open after so many rounds, such as a thousand spaces, is finished pair by pair
-ROUNDS = 256
 WORDS_KEPT = 300_000
 CHARS_AT_ONCE = 1 << 20
 # Piece types of the model format, and what an unknown id is shown as.
@@ -66,11 +58,6 @@ def read_model(path: str) -> dict[str, np.ndarray]:
     pairs = sorted((symbols[t[:k]] * size + symbols[t[k:]], i) for t, i in pieces.items()
                    for k in range(1, len(t)) if t[:k] in symbols and t[k:] in symbols)
     keys, merged = (np.array(x, np.int64) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
-    # a piece after whose making a pair with it may come before the others of its rank
-    sooner = np.full(size, NEVER, np.int32)
-    np.minimum.at(sooner, keys // size, rank[merged])
-    np.minimum.at(sooner, keys % size, rank[merged])
-    sooner[:len(rank)] = np.where(sooner[:len(rank)] <= rank, 1, 0)
     letters = sorted({c for t in pieces for c in t})
     at = {c: k + 1 for k, c in enumerate(letters)}
     spans = np.unique(np.array([at[a] * (len(letters) + 1) + at[b] for t in pieces for a, b in zip(t, t[1:])], np.int64))
@@ -79,8 +66,8 @@ def read_model(path: str) -> dict[str, np.ndarray]:
     byte_ids = np.zeros(256, np.int32)
     byte_ids[[int(texts[i][3:5], 16) for i in np.flatnonzero(kinds == BYTE)]] = np.flatnonzero(kinds == BYTE)
     return {
-        "size": np.int64(size), "n": np.int64(len(texts)), "keys": keys, "merged": merged.astype(np.int32), "rank": rank,
-        "sooner": sooner == 1, "letters": np.array([ord(c) for c in letters], np.uint32),
+        "size": np.int64(size), "n": np.int64(len(texts)), "keys": keys, "made": merged.astype(np.int32),
+        "rank": rank[merged], "sooner": sooner_of(size, keys, rank[merged], merged), "letters": np.array([ord(c) for c in letters], np.uint32),
         "letter_symbol": np.array([symbols[c] for c in letters], np.int32), "spans": spans, "byte_ids": byte_ids,
         "shown": np.frombuffer(b"".join(shown), np.uint8), "shown_size": np.array([len(s) for s in shown], np.int64),
         "kinds": kinds, "spaced": np.array([k == NORMAL and t.startswith(SPACE) for t, k in zip(texts, kinds)]),
@@ -102,126 +89,13 @@ class Encoder:
         self.span[model["spans"]] = True
         self.letter_at = np.zeros(0x110000, np.int32)
         self.letter_at[model["letters"]] = np.arange(1, n)
+        self.merger = Merger(int(model["size"]), *(model[k] for k in ("keys", "rank", "made", "sooner")))
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.ids, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank of each pair and the piece it makes; ``NEVER`` if it makes none."""
-        keys, key = self.m["keys"], left.astype(np.int64) * self.m["size"] + right
-        if not len(keys):
-            return np.full(len(key), NEVER, np.int32), np.zeros(len(key), np.int32)
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        made = self.m["merged"][at]
-        return np.where(keys[at] == key, self.m["rank"][made], NEVER), made
-
-    def _merge(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Final symbols of words given as flat letters, and the word of each, ordered by word."""
-        done_symbols, done_words = [], []
-        same = np.append(word[1:] == word[:-1], False)
-        rank, made = np.full(len(symbols), NEVER, np.int32), np.zeros(len(symbols), np.int32)
-        asked = np.flatnonzero(same)
-        rank[asked], made[asked] = self._pairs(symbols[asked], symbols[asked + 1])
-        for turn in itertools.count():
-            if not len(symbols):
-                break
-            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            if turn == ROUNDS:
-                for part, of in zip(np.split(symbols, first[1:]), word[first].tolist()):
-                    done_symbols.append(self._in_order(part.tolist()))
-                    done_words.append(np.full(len(done_symbols[-1]), of, word.dtype))
-                break
-            sizes = np.diff(np.append(first, len(symbols)))
-            least = np.minimum.reduceat(rank, first)
-            open_ = np.repeat(least < NEVER, sizes)
-            if not open_.all():  # compaction: finished words leave
-                done_symbols.append(symbols[~open_])
-                done_words.append(word[~open_])
-                symbols, word, rank, made = symbols[open_], word[open_], rank[open_], made[open_]
-                least, sizes = least[least < NEVER], sizes[least < NEVER]
-                if not len(symbols):
-                    break
-            hit = rank == np.repeat(least, sizes)
-            # of a row of pairs that overlap, the first, third and so on; a pair of the next word starts a new row
-            place = np.arange(len(symbols))
-            starts = hit & ~np.append(False, hit[:-1])
-            chosen = np.flatnonzero(hit & ((place - np.maximum.accumulate(np.where(starts, place, 0))) % 2 == 0))
-            chosen = self._first_only(chosen, symbols, word, rank, made)
-            symbols[chosen] = made[chosen]
-            kept = np.ones(len(symbols), bool)
-            kept[chosen + 1] = False
-            touched = np.zeros(len(symbols), bool)
-            touched[chosen] = True
-            symbols, word, rank, made, touched = symbols[kept], word[kept], rank[kept], made[kept], touched[kept]
-            same = np.append(word[1:] == word[:-1], False)
-            changed = touched | np.append(touched[1:], False)
-            rank[changed & ~same] = NEVER
-            asked = np.flatnonzero(changed & same)
-            rank[asked], made[asked] = self._pairs(symbols[asked], symbols[asked + 1])
-        symbols = np.concatenate(done_symbols) if done_symbols else symbols
-        word = np.concatenate(done_words) if done_words else word
-        order = np.argsort(word, kind="stable")
-        return symbols[order], word[order]
-
-    def _in_order(self, symbols: list[int]) -> np.ndarray:
-        """Final symbols of one word, merged pair by pair from a queue."""
-        after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
-        known: dict[tuple[int, int], tuple[int, int]] = {}
-
-        def pair(at: int) -> None:
-            if at < 0 or after[at] >= len(symbols):
-                return
-            key = symbols[at], symbols[after[at]]
-            if key not in known:
-                rank, made = self._pairs(np.array(key[:1]), np.array(key[1:]))
-                known[key] = int(rank[0]), int(made[0])
-            if known[key][0] < NEVER:
-                heapq.heappush(queue, (known[key][0], at, *key))
-
-        queue: list[tuple[int, int, int, int]] = []
-        for at in range(len(symbols)):
-            pair(at)
-        while queue:
-            _, at, left, right = heapq.heappop(queue)
-            if symbols[at] != left or after[at] >= len(symbols) or symbols[after[at]] != right:
-                continue  # one of the two has been merged since
-            gone = after[at]
-            symbols[at], after[at] = known[left, right][1], after[gone]
-            symbols[gone] = GONE
-            if after[at] < len(symbols):
-                before[after[at]] = at
-            pair(before[at])
-            pair(at)
-        return np.array([s for s in symbols if s != GONE], np.int32)
-
-    def _first_only(self, chosen, symbols, word, rank, made) -> np.ndarray:
-        """Of each word's merges those up to the first one that makes a pair of no higher rank, which then comes before the rest."""
-        risky = np.flatnonzero(self.m["sooner"][made[chosen]])
-        if not len(risky):
-            return chosen
-        at = chosen[risky]
-        now = rank[at]
-        before = np.maximum(at - 1, 0)
-        follows = np.zeros(len(symbols), np.int64)
-        follows[chosen + 1] = 1
-        merged_before = (at >= 2) & (follows[before] == 1)
-        left = np.where(merged_before, made[np.maximum(at - 2, 0)], symbols[before])
-        has_left = (at > 0) & (word[before] == word[at])
-        after = np.minimum(at + 2, len(symbols) - 1)
-        has_right = (at + 2 < len(symbols)) & (word[after] == word[at])
-        sooner = (has_left & (self._pairs(left, made[at])[0] <= now)) | (has_right & (self._pairs(made[at], symbols[after])[0] <= now))
-        if not sooner.any():
-            return chosen
-        stops = np.zeros(len(chosen), np.int64)
-        stops[risky[sooner]] = 1
-        word_of = word[chosen]
-        begin = np.flatnonzero(np.append(True, word_of[1:] != word_of[:-1]))
-        earlier = np.cumsum(stops) - stops  # stops before each merge, of all words
-        earlier -= np.repeat(earlier[begin], np.diff(np.append(begin, len(chosen))))
-        return chosen[earlier == 0]
-
     def _learn(self, words: list[str]) -> None:
         flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
@@ -229,7 +103,7 @@ class Encoder:
         # a letter in no piece is numbered beyond all symbols, by its code point
         symbols = np.where(letter > 0, self.m["letter_symbol"][letter - 1], -1 - flat.astype(np.int64)).astype(np.int32)
         whole = np.bincount(word, letter == 0, len(words))[word] > 0
-        out, of = self._merge(symbols[~whole], word[~whole].astype(np.int32))
+        out, of = self.merger.merge(symbols[~whole], word[~whole].astype(np.int32))
         out, of = np.append(out, symbols[whole]), np.append(of, word[whole])
         order = np.argsort(of, kind="stable")
         out, of = out[order], of[order]
