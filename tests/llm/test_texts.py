@@ -251,3 +251,21 @@ def test_templates_inside_and_around_articles_go(spark):
     assert found == want
     twice = main_text(df.unionAll(df)).collect()  # copies turn nothing into template
     assert len(twice) == 2 * len(pages) and all(r.text == want[r.page_id] for r in twice)
+
+
+def test_mixing_takes_any_column_names_and_says_what_it_cannot_meet(spark):
+    rows = [(i, "words of some length " * (1 + i % 3), "ab"[i % 2], "en", 5, "mine", 0.5, True, "k") for i in range(60)]
+    names = "doc_id long, text string, source string, lang string, _tokens int, _source string, _p double, _selected boolean, _keyword string"
+    df = spark.createDataFrame(rows, names)
+    found = mix(df)
+    assert found.columns == ["doc_id", "text", "source", "lang", "_source", "_tokens", "_topic", "_p", "_selected"]
+    assert {r._source for r in found.collect()} == {"mine"} and {r._tokens for r in found.collect()} == {4, 8, 12}
+    # a source that has one language only cannot have another share than it
+    rows = [(i, "plain words", s, lang) for i, (s, lang) in enumerate([("a", "x")] * 9 + [("b", "y")] * 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    share = lambda m, **v: spark.createDataFrame(list(v.items()), f"{m} string, share double")
+    shares = {"source": share("source", a=0.9, b=0.1), "lang": share("lang", x=0.5, y=0.5)}
+    with pytest.raises(mixing.UnmetMargins):
+        mix(df, shares=shares, strict=True)
+    with pytest.warns(mixing.UnmetMargins):
+        assert mix(df, shares=shares).count() == 18

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from verbamark.session import discard, stage
 
 TOLERANCE = 1e-10
-MAX_ROUNDS = 100
+MAX_ROUNDS = 1000
+# weights this far from their targets, as a share, are no rounding any more
+UNMET = 1e-4
 MAX_CELLS = 200_000
 TOPICS = 8
 HEX_DIGITS = 13
@@ -22,6 +25,10 @@ LONG_WORD = re.compile(rb"[a-z]{5,}")
 MEASURES = ["_tokens", "_keyword"]
 
 
+class UnmetMargins(UserWarning, ValueError):
+    """The targets contradict each other: no weights have all these sums."""
+
+
 def measured(documents: DataFrame, text: str = "text") -> DataFrame:
     """``documents`` with ``_tokens``, its number of words, and ``_keyword``.
 
@@ -59,7 +66,7 @@ def tempered(cells: DataFrame, column: str, power: float, tokens: str = "tokens"
         column, (F.col("share") / F.col("total")).alias("share"))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float = TOLERANCE, strict: bool = False) -> DataFrame:
     """``cells`` with ``w``, weights that add up to each target's shares.
 
     ``cells`` has one row per combination of the target columns with its
@@ -68,6 +75,8 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
     scaled by more than ``tolerance``. Values without a target get no weight,
     targets without tokens are left out and the other shares of that column
     scaled up. Only the largest deviation of a round reaches the driver.
+    Targets that contradict each other are met for the last margin only; that
+    raises ``UnmetMargins`` if ``strict``, and warns of it otherwise.
     """
     now, goals = cells.where("tokens > 0"), {}
     for k, (column, target) in enumerate(targets.items()):
@@ -81,28 +90,36 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
                            *((F.col(goal) / one).alias(goal) for goal, one in zip(goals.values(), sums))), "cells")
     # sums by cell, not documents: few enough are scaled in memory, any number by Spark
     scaled = _scaled_here if now.count() <= MAX_CELLS else _scaled_by_spark
-    now = scaled(now, goals, tolerance)
+    now, off = scaled(now, goals, tolerance)
+    if off > UNMET:
+        unmet = UnmetMargins(f"a margin is off its target by {off:.2g} of it, and no more rounds bring it nearer")
+        if strict:
+            raise unmet
+        warnings.warn(unmet, stacklevel=2)
     rest = cells.join(now, [c for c in cells.columns if c != "tokens"], "left_anti")
     return now.select(*cells.columns, "w").union(rest.select(*cells.columns, F.lit(0.0)))
 
 
-def _scaled_here(now: DataFrame, goals: Mapping[str, str], tolerance: float) -> DataFrame:
+def _scaled_here(now: DataFrame, goals: Mapping[str, str], tolerance: float) -> tuple[DataFrame, float]:
     table = now.toArrow()
-    w, off = np.asarray(table["w"]).copy(), np.inf
+    w, off = np.asarray(table["w"]).copy(), np.inf if len(table) else 0.0
     margins = [(np.asarray(table[column].combine_chunks().dictionary_encode().indices), np.asarray(table[goal]))
                for column, goal in goals.items()] if len(table) else []
     for _ in range(MAX_ROUNDS):
         if off <= tolerance:
             break
-        off = 0.0
+        before, off = off, 0.0
         for at, goal in margins:
             factor = goal / np.bincount(at, w)[at]
             w, off = w * factor, max(off, np.abs(1 - factor).max())
+        if off > UNMET and abs(before - off) <= tolerance * off:
+            break  # the same again each round
     return now.sparkSession.createDataFrame(table.set_column(table.schema.get_field_index("w"), "w", pa.array(w)),
-                                            now.schema)
+                                            now.schema), off
 
 
-def _scaled_by_spark(now: DataFrame, goals: Mapping[str, str], tolerance: float) -> DataFrame:
+def _scaled_by_spark(now: DataFrame, goals: Mapping[str, str], tolerance: float) -> tuple[DataFrame, float]:
+    off = 0.0
     for _ in range(MAX_ROUNDS):
         after = now.withColumn("off", F.lit(0.0))
         for column, goal in goals.items():
@@ -113,9 +130,10 @@ def _scaled_by_spark(now: DataFrame, goals: Mapping[str, str], tolerance: float)
         after = stage(after.select(now.columns), "cells")
         discard(now)
         now = after
-        if (now.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+        before, off = off, now.agg(F.max("off")).first()[0] or 0.0
+        if off <= tolerance or off > UNMET and abs(before - off) <= tolerance * off:
             break
-    return now
+    return now, off
 
 
 def calibrated(cells: DataFrame, budget: float) -> DataFrame:
@@ -141,7 +159,7 @@ def calibrated(cells: DataFrame, budget: float) -> DataFrame:
 
 def mix(documents: DataFrame, margins: Sequence[str] = ("source", "lang"), *, text: str = "text",
         doc_id: str = "doc_id", shares: Mapping[str, DataFrame] | None = None, power: float = 0.5,
-        budget: float = 0.5, seed: str = "mix", tolerance: float = TOLERANCE) -> DataFrame:
+        budget: float = 0.5, seed: str = "mix", tolerance: float = TOLERANCE, strict: bool = False) -> DataFrame:
     """``documents`` with ``_tokens``, ``_topic``, ``_p`` and ``_selected``.
 
     The margins are the named columns and ``topic``, a class of keywords; a
@@ -151,18 +169,25 @@ def mix(documents: DataFrame, margins: Sequence[str] = ("source", "lang"), *, te
     probability, so the same id is always drawn alike and repeated rows go or
     stay together. Texts without words weigh nothing and are drawn with their
     cell; documents of a cell without any words are not drawn, nor is anything
-    of an empty table. Only sums by cell are shuffled.
+    of an empty table. Only sums by cell are shuffled. Columns of
+    ``documents`` with the name of one of the four are replaced. Targets that
+    contradict each other warn, or raise ``UnmetMargins`` if ``strict``.
     """
-    values = {f"_{m}": F.coalesce(F.col(m).cast("string"), F.lit("")) for m in margins}
+    documents = documents.drop("_tokens", "_keyword", "_topic", "_p", "_selected")
+    lead = "_"
+    while {f"{lead}{m}" for m in margins} & set(documents.columns):
+        lead += "_"  # a name of the caller's own
+    values = {f"{lead}{m}": F.coalesce(F.col(m).cast("string"), F.lit("")) for m in margins}
     values["_topic"] = keyword_topic(F.col("_keyword"))
 
     def keyed(rows: DataFrame) -> DataFrame:
         return measured(rows, text).withColumns(values).drop("_keyword")
 
     cells = stage(keyed(documents.select(text, *margins)).groupBy(*values).agg(F.sum("_tokens").alias("tokens")), "cells")
-    targets = {f"_{m}": target.withColumnRenamed(m, f"_{m}") for m, target in (shares or {}).items()}
+    names = {m: f"{lead}{m}" for m in margins} | {"topic": "_topic"}
+    targets = {names[m]: target.withColumnRenamed(m, names[m]) for m, target in (shares or {}).items()}
     raked = rake(cells, {v: targets[v] if v in targets else tempered(cells, v, power) for v in values},
-                 tolerance)
+                 tolerance, strict)
     drawn = stage(calibrated(stage(raked, "raked"), budget).select(*values, F.col("p").alias("_p")), "drawn")
     discard(cells)
     selected = _unit(doc_id, seed) < F.coalesce("_p", F.lit(0.0))
