@@ -1,5 +1,6 @@
 """Pseudonyms, languages, quality, packing, mixing and page texts on small tables."""
 
+import os
 import random
 import re
 import zlib
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from verbamark.llm import mixing
+from verbamark.llm import language, mixing
 from verbamark.llm.language import identify
 from verbamark.llm.mixing import mix, rake
 from verbamark.llm.packing import best_fill, pack
@@ -269,3 +270,26 @@ def test_mixing_takes_any_column_names_and_says_what_it_cannot_meet(spark):
         mix(df, shares=shares, strict=True)
     with pytest.warns(mixing.UnmetMargins):
         assert mix(df, shares=shares).count() == 18
+
+
+def test_no_order_or_language_is_cut_away():
+    sizes = [(o, lang, c, n // c ** 2) for o in range(1, 6) for lang, n in (("big", 10 ** o), ("small", 3 ** o))
+             for c in range(1, 64) if n >= c ** 2]
+    found = language.cutoffs(sizes, 4_000)
+    kept = lambda o, lang: sum(n for a, b, c, n in sizes if (a, b) == (o, lang) and c > 0 and c >= found[o, lang])
+    assert sum(kept(o, lang) for o in range(1, 6) for lang in ("big", "small")) <= 4_000
+    assert all(kept(o, lang) > 0 for o in range(1, 5) for lang in ("big", "small"))
+    assert max(found.values()) > 1 and found[1, "big"] == 1 and set(language.cutoffs(sizes, 10 ** 9).values()) == {1} and language.cutoffs([], 5) == {}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="given tables are absent")
+def test_texts_of_a_language_that_was_not_learned_are_rejected(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    fold = language.folds()
+    for out in ("de", "fr"):
+        learned = documents.where(F.col("lang") != out)
+        found = identify(documents, learned.where(fold > 1), learned.where(fold == 1)).where(F.length("text") > 200)
+        own, other = (F.col("lang") != out), (F.col("lang") == out)
+        row = found.agg(F.avg(F.when(other, F.col("rejected").cast("int"))).alias("other"),
+                        F.avg(F.when(own, F.col("rejected").cast("int"))).alias("own")).first()
+        assert row.other >= 0.9 and row.own <= 0.005
