@@ -56,7 +56,8 @@ def clean(spark, d):
 
 
 def align_segments(spark, d):
-    return al.align_corpora(al.number_texts(i.corpora(spark, d)))
+    numbered = al.number_texts(i.corpora(spark, d))
+    return al.align(*[numbered.where(F.col("corpus") == c) for c in ("source", "reference")])
 
 
 def alignment_check(spark, d):
