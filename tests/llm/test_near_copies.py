@@ -3,13 +3,14 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from verbamark.llm import near_vectors as nv
 from verbamark.llm import simhash as sh
 from verbamark.llm.components import connected_components
 from verbamark.llm.near_vectors import near_vectors
-from verbamark.llm.passages import near_passages
+from verbamark.llm.passages import SPAN, marked, near_passages
 from verbamark.llm.simhash import keep_first, links, simhash_components
 
 
@@ -120,3 +121,47 @@ def test_near_passages(spark):
         a, b = ({tuple(x[i:i + 5]) for i in range(len(x) - 4)} for x in (a, b))
         assert abs(len(a & b) / len(a | b) - r.similarity) < 1e-9 and r.similarity >= 0.8 and r.end - r.start >= 50
     assert near_passages(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("at_once", [1, 10_000])
+def test_near_passages_behind_a_part_and_over_batches(spark, at_once):
+    """A document that holds the middle of a passage does not hide it, and neither copies nor batches change the rest."""
+    rng = random.Random(11)
+    rows, want = [], {}
+    for trial in range(12):
+        passage, n = words(rng, 60).split(), 3 * trial
+        rows += [(n, f"{words(rng, 70)} {' '.join(passage[8:52])} {words(rng, 70)}"),
+                 *((n + i, f"{words(rng, 60 + 9 * i)} {' '.join(passage)} {words(rng, 80)}") for i in (1, 2))]
+        want[n + 2] = n + 1
+    rows += [(100 + i, rows[2][1]) for i in range(3)]  # copies of one text
+    rows += [(200, "to " * 3000), (201, "to " * 2000), (1, "few words"), rows[4]]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", at_once)
+    try:
+        found = near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {(r.doc_id, r.other_id) for r in found if r.doc_id < 100} == set(want.items())
+    size = len(rows[2][1].split())
+    assert sorted((r.doc_id, r.start, r.end, r.other_id) for r in found if 100 <= r.doc_id < 200) == [
+        (100 + i, 0, size, 2) for i in range(3)]
+    assert {(r.doc_id, r.other_id) for r in found if r.doc_id >= 200} == {(201, 200)}
+    for r in found:
+        assert r.end - r.start >= 50 and r.similarity >= 0.8
+
+
+def test_marks_meet_in_every_common_stretch():
+    """Two texts that have SPAN tokens in a row in common have a mark in common, wherever the stretch stands."""
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        shared = rng.integers(0, 2**63, SPAN).astype(np.uint64)
+        sides = []
+        for _ in range(2):
+            around = rng.integers(0, 2**63, rng.integers(0, 60)).astype(np.uint64)
+            cut = rng.integers(0, len(around) + 1)
+            token = np.concatenate([around[:cut], shared, around[cut:]])
+            sides.append(set(token[marked(np.zeros(len(token), np.int64), token)].tolist()))
+        assert sides[0] & sides[1] & set(shared.tolist())
+    row, token = np.repeat([0, 1], [SPAN - 1, SPAN]), np.arange(2 * SPAN - 1).astype(np.uint64)
+    assert marked(row, token)[:SPAN - 1].sum() == 0 and marked(row, token).sum() == 1
+    assert not marked(row[:3], token[:3]).any()
