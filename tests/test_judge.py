@@ -164,3 +164,17 @@ def test_text_behind_the_list_and_fields_that_are_no_texts(spark):
                                          "void", "void", "void", "garbage", "empty"]
     lenient = parsed(spark, [call([error(), error(target_chunk=True)], 1)], strict=False)
     assert [len(r.errors) for r in lenient] == [1]
+
+
+def test_each_part_of_a_reply_is_read_once(spark):
+    plan = ju.parse_reports(replies(spark, [call([error()])])).drop("score")._jdf.queryExecution().optimizedPlan().toString()
+    # where the reply ends is asked once, and kinds are known from what was read, not from a second look at every field
+    assert plan.count("$[1]") == 1 and plan.count("$[0],") == 1 and "schemaOfVariant" not in plan
+
+
+def test_only_texts_count_as_texts(spark):
+    odd = [5, 1.5, 1e300, True, None, {"x": 1}, ["s"]]
+    found = parsed(spark, *[[call([error(**{field: value})], 1)] for field in ju.REQUIRED for value in odd])
+    assert {r.status for r in found} == {"void"}
+    whole, = parsed(spark, [call([error(source_chunk="", explanation=" é中\U0001f600\r\n　", error_type=" 5 ")], 1)])
+    assert [tuple(e[f] for f in ("source_chunk", "explanation", "error_type")) for e in whole.errors] == [("", "é中\U0001f600", " 5 ")]

@@ -84,3 +84,14 @@ def test_number_and_percent_text(spark):
 
 def test_count_marks(spark):
     assert apply(spark, ["a.b,c!", "", None], lambda c: count_marks(c, ".,;:!?")) == [3, 0, None]
+
+
+def test_a_text_that_ends_in_no_space_is_not_trimmed_at_its_right_end(spark):
+    rows = ["", " ", "a", " a", "a　", " a b\r\n", "\r", "a\rb\nc", "中 ", None, "\U0001f600 "]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "k int, t string").select("k", strip(F.col("t")).alias("s"), clean_text(F.col("t")).alias("c"))
+    found = df.orderBy("k").collect()
+    assert [r.s for r in found] == [t if t is None else t.strip() for t in rows]
+    assert [r.c for r in found] == [t if t is None else t.replace("\n", " ").replace("\r", "").strip() for t in rows]
+    # Spark's trim of both ends lays out the whole text as two arrays
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN Contains" in plan and "trim(both" not in plan.lower()
