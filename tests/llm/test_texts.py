@@ -293,3 +293,13 @@ def test_texts_of_a_language_that_was_not_learned_are_rejected(spark):
         row = found.agg(F.avg(F.when(other, F.col("rejected").cast("int"))).alias("other"),
                         F.avg(F.when(own, F.col("rejected").cast("int"))).alias("own")).first()
         assert row.other >= 0.9 and row.own <= 0.005
+
+
+def test_the_model_comes_to_the_driver_one_order_at_a_time(spark, monkeypatch):
+    rows = spark.createDataFrame([("the cat sat on the mat", "en"), ("el gato duerme", "es"), (None, "en"), ("x", None)], "text string, lang string")
+    kind, fetched = type(rows), []
+    whole = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda df: fetched.append(df.columns) or whole(df))
+    model = language.fit(rows)
+    assert len(fetched) == 2 * language.ORDER and not any("order" in columns for columns in fetched)
+    assert model.langs == ["en", "es"] and model.entropies(["the mat", "gato"])[0].argmin(axis=1).tolist() == [0, 1]
