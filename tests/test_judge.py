@@ -178,3 +178,20 @@ def test_only_texts_count_as_texts(spark):
     assert {r.status for r in found} == {"void"}
     whole, = parsed(spark, [call([error(source_chunk="", explanation=" é中\U0001f600\r\n　", error_type=" 5 ")], 1)])
     assert [tuple(e[f] for f in ("source_chunk", "explanation", "error_type")) for e in whole.errors] == [("", "é中\U0001f600", " 5 ")]
+
+
+def test_counted_reports_read_no_text(spark):
+    error = dict.fromkeys(("source_chunk", "target_chunk", "reference_chunk", "explanation"), "x") | {"error_type": "Grammar", "severity": 3}
+    sent = [error, error | {"explanation": 5}, error | {"target_chunk": None}, {k: v for k, v in error.items() if k != "source_chunk"},
+            error | {"error_type": ["Grammar"]}, error | {"explanation": ""}, 5, None]
+    rows = [(k, "A", json.dumps([{"name": "ErrorReport", "args": {"errors": [e], "scores": 1}}])) for k, e in enumerate(sent)]
+    rows += [(10, "A", '[{"args": 5}]'), (11, "A", "[null]"), (12, "A", "[5]"), (13, "A", "[]"), (14, "A", "5"), (15, "A", None)]
+    df = spark.createDataFrame(rows, "seg_id long, system string, tool_calls string")
+    for strict in (True, False):
+        read, counted = ({r.seg_id: (r.status, r.score, [(e.error_type, e.severity, e.severity_sent) for e in r.errors or []])
+                          for r in ju.parse_reports(df, strict, texts).collect()} for texts in (True, False))
+        assert read == counted
+        if strict:
+            assert [read[k][0] for k in range(8)] == ["ok", "void", "void", "void", "void", "ok", "void", "void"]
+    plan = ju.parse_reports(df, texts=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "BinaryType" not in plan

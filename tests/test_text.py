@@ -95,3 +95,12 @@ def test_a_text_that_ends_in_no_space_is_not_trimmed_at_its_right_end(spark):
     # Spark's trim of both ends lays out the whole text as two arrays
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN Contains" in plan and "trim(both" not in plan.lower()
+
+
+def test_a_last_character_is_looked_for_only_behind_a_last_byte_of_a_space(spark):
+    # these end in the same bytes as some space, or in no such byte
+    rows = ["\u4e00", "\u00c5", "\u00e0 ", "a\u2029", "\u202a", "\u3001\u3000", "\U0001f680", "b\u200a", "c\u200b", "\u1680", "d\x1f", "e!"]
+    df = spark.createDataFrame(list(enumerate(rows)), "k int, t string").select("k", strip(F.col("t")).alias("s"))
+    assert [r.s for r in df.orderBy("k").collect()] == [t.strip() for t in rows]
+    # the last character is found by counting from the start, the last byte at once
+    assert "substring(cast(t" in df._jdf.queryExecution().optimizedPlan().toString()
