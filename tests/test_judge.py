@@ -180,6 +180,15 @@ def test_only_texts_count_as_texts(spark):
     assert [tuple(e[f] for f in ("source_chunk", "explanation", "error_type")) for e in whole.errors] == [("", "é中\U0001f600", " 5 ")]
 
 
+def test_rules_are_compiled_and_not_read_again_inside_the_transform(spark):
+    rows = [(1, "A", "s 1", "t 2", "r 1"), (2, "A", "same", "same", "same"), (3, "A", "s", None, "r"), (4, "A", "s", "r", "r")]
+    judged = annotate(spark.createDataFrame(rows, "seg_id long, system string, source string, text string, reference string"))
+    found = {r.seg_id: ([e.error_type for e in r.errors], round(r.score, 6)) for r in judged.collect()}
+    assert found == {1: (["Number Format"], 0.9), 2: (["Untranslated"], 0.82), 3: (["Missing Text"], 0.8), 4: ([], 1.0)}
+    plan = judged._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert not any("transform(" in line and "ltrim" in line for line in plan.splitlines())
+
+
 def test_counted_reports_read_no_text(spark):
     error = dict.fromkeys(("source_chunk", "target_chunk", "reference_chunk", "explanation"), "x") | {"error_type": "Grammar", "severity": 3}
     sent = [error, error | {"explanation": 5}, error | {"target_chunk": None}, {k: v for k, v in error.items() if k != "source_chunk"},

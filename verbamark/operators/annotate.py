@@ -17,13 +17,13 @@ MARKS = ".,;:!?"
 SHORTEST, LONGEST = 0.7, 1.3  # length bounds, as a share of the reference's
 
 
-def rule_errors(source: Column, text: Column, reference: Column) -> Column:
-    """Errors a candidate shows against its source and reference."""
+def _rules(source: Column, text: Column, reference: Column) -> list[tuple[str, int, str, Column]]:
+    """Name, severity and explanation of each rule, and whether it holds."""
     missing = F.coalesce(strip(text), F.lit("")) == ""
     ratio = F.length(text) / F.length(reference)
     comparable = ~missing & (F.length(reference) > 0)
     differs = ~missing & (text != reference)  # spares equal texts the patterns
-    rules = [
+    return [
         ("Missing Text", 10, "no text", missing),
         ("Untranslated", 9, "same as the source", ~missing & (text == source)),
         ("Omission", 6, "much shorter than the reference", comparable & (ratio < SHORTEST)),
@@ -35,12 +35,19 @@ def rule_errors(source: Column, text: Column, reference: Column) -> Column:
         ("Character Encoding ", 7, "holds a replacement character",
          ~missing & F.contains(text, F.lit("\ufffd"))),
     ]
-    # which rules hold, then their errors: concat is compiled together with the
-    # rules and shares their parts, while a filter over all errors is not
+
+
+def rules_held(source: Column, text: Column, reference: Column) -> Column:
+    """Numbers of the rules that hold for a candidate, which ``rule_errors`` takes."""
     none = F.array().cast("array<int>")
-    held = F.concat(*[F.when(holds, F.array(F.lit(k))).otherwise(none) for k, (*_, holds) in enumerate(rules)])
+    rules = _rules(source, text, reference)
+    return F.concat(*[F.when(holds, F.array(F.lit(k))).otherwise(none) for k, (*_, holds) in enumerate(rules)])
+
+
+def rule_errors(held: Column, source: Column, text: Column, reference: Column) -> Column:
+    """Errors a candidate shows against its source and reference, for the rules that hold."""
     facts = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(float(severity)).alias("severity"),
-                               F.lit(why).alias("why")) for name, severity, why, _ in rules])
+                               F.lit(why).alias("why")) for name, severity, why, _ in _rules(source, text, reference)])
 
     def error(k: Column) -> Column:
         fact = F.get(facts, k)
@@ -48,12 +55,15 @@ def rule_errors(source: Column, text: Column, reference: Column) -> Column:
                   "error_type": fact["name"], "severity": fact["severity"], "explanation": fact["why"]}
         return F.struct(*[values[f.name].alias(f.name) for f in ERROR], F.lit(None).cast("string").alias("severity_sent"))
 
-    return F.transform(held, error)
+    # held is read twice, so it stays a column of its own: its rules are then compiled and share
+    # their parts, while all that stands inside a transform is interpreted, each part again
+    errors = F.transform(held, error)
+    return F.when(F.size(held) > 0, errors).otherwise(F.slice(errors, 1, 0))
 
 
 def annotate(candidates: DataFrame, tolerance: int = 5) -> DataFrame:
     """Judgements from the rules: ``(seg_id, system, status, errors, score)``."""
-    judged = candidates.select(
-        "seg_id", "system", F.lit("ok").alias("status"),
-        rule_errors(F.col("source"), F.col("text"), F.col("reference")).alias("errors"))
+    texts = [F.col(c) for c in ("source", "text", "reference")]
+    judged = (candidates.select("seg_id", "system", *texts, rules_held(*texts).alias("_held"))
+              .select("seg_id", "system", F.lit("ok").alias("status"), rule_errors(F.col("_held"), *texts).alias("errors")))
     return judged.withColumn("score", severity_score(F.col("errors"), tolerance))
