@@ -165,3 +165,18 @@ def test_marks_meet_in_every_common_stretch():
     row, token = np.repeat([0, 1], [SPAN - 1, SPAN]), np.arange(2 * SPAN - 1).astype(np.uint64)
     assert marked(row, token)[:SPAN - 1].sum() == 0 and marked(row, token).sum() == 1
     assert not marked(row[:3], token[:3]).any()
+
+
+def test_words_of_texts_without_copies_are_not_counted(spark):
+    """The count of words is no filter that moves below the join with copied texts."""
+    rng = random.Random(7)
+    rows = [(k, words(rng, 60)) for k in range(40)]
+    rows += [(100, f"\t{rows[3][1]}\n"), (101, rows[5][1]), (102, rows[5][1]), (103, "few words"), (104, "few words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_passages(df)
+    # copies are those with the whole text of a smaller id; white space around a passage makes another text
+    assert sorted((r.doc_id, r.start, r.end, r.other_id) for r in found.collect()) == [
+        (100, 0, 60, 3), (101, 0, 60, 5), (102, 0, 60, 5)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    counted = [line for line in plan.splitlines() if "Filter" in line and "split(text" in line]
+    assert not counted, counted
