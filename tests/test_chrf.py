@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pandas as pd
@@ -55,3 +56,18 @@ def test_scored_by_spark(spark):
     df = spark.createDataFrame(rows, "seg_id bigint, mt string, ref string")
     found = {r.seg_id: r.score for r in score_with_reference(df).collect()}
     assert found == {1: 1.0, 2: pytest.approx(by_hand("a cat", "the cat")), 3: 0.0, 4: None}
+
+
+@pytest.mark.parametrize("letters", ["ab \n\x1c", "abc\0é’", "".join(map(chr, range(0x4E00, 0x4F00)))])
+def test_grams_of_all_orders_come_of_one_sort(monkeypatch, letters):
+    """An alphabet that fits one key needs no sort per order; a larger one does, with the same scores."""
+    rng = random.Random(2)
+    texts = ["".join(rng.choices(letters, k=rng.choice([0, 1, 3, 5, 6, 7, 40]))) for _ in range(300)]
+    references = [t[:len(t) // 2] + rng.choice(texts) for t in texts]
+    sides = pd.Series(texts), pd.Series(references)
+    with monkeypatch.context() as m:
+        m.setattr(module, "KEY_BITS", 0)
+        by_order = chrf(*sides)
+    monkeypatch.delattr(module, "_by_order")
+    assert chrf(*sides).tolist() == by_order.tolist()
+    assert by_order.tolist() == pytest.approx([by_hand(*pair) for pair in zip(texts, references)])
