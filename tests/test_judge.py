@@ -204,3 +204,34 @@ def test_counted_reports_read_no_text(spark):
             assert [read[k][0] for k in range(8)] == ["ok", "void", "void", "void", "void", "ok", "void", "void"]
     plan = ju.parse_reports(df, texts=False)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("BinaryType") == plan.count("StructField(error_type,BinaryType") > 0
+
+
+def test_no_path_to_what_a_whole_reply_lacks(spark):
+    one = json.dumps([call([error()], 1)])
+    found = parsed(spark, one, one + ', "end of reply"', one + ', "end of reply", []', "[]", '[], "\\u0065nd of reply"', "")
+    assert [r.status for r in found] == ["ok", "garbage", "garbage", "empty", "garbage", "garbage"]
+    plan = ju.parse_reports(replies(spark, one))._jdf.queryExecution().optimizedPlan().toString()
+    assert "$[2]" not in plan
+
+
+def test_replies_write_the_texts_of_a_segment_once(spark, tmp_path):
+    from workloads import inputs
+    text = 'a "1"\tb\\\nnïce 中 [x]\n\nlast.'
+    spark.createDataFrame([(k, text) for k in range(60)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    sent = inputs.replies(spark, str(tmp_path))
+    rows = {(r.seg_id, r.system): r.tool_calls for r in sent.collect()}
+    texts = {(r.seg_id, r.system): r for r in inputs.raw_candidates(spark, str(tmp_path)).collect()}
+    read = 0
+    for key, reply in rows.items():
+        seg, n = key[0], int(key[1][4:])
+        if (seg * 7 + n) % 23 == 0 or (seg + n) % 29 == 0 or (seg * 5 + n) % 41 == 0:
+            continue
+        errors = json.loads(reply)[0]["args"]["errors"]
+        assert len(errors) == (0 if (seg + n) % 4 == 0 else 1 if (seg + n) % 4 == 1 else 2)
+        for e in errors[:1]:
+            r, read = texts[key], read + 1
+            assert (e["source_chunk"], e["target_chunk"], e["reference_chunk"]) == (r.source, r.text or "", f"\n {r.reference}\r\n")
+            assert e.get("said", e["explanation"]) == f"see\n{r.source} "
+    assert read > 100
+    # texts alone are written as JSON, not the errors that hold them
+    assert "StructType" not in sent._jdf.queryExecution().optimizedPlan().toString()
