@@ -214,6 +214,21 @@ def test_no_path_to_what_a_whole_reply_lacks(spark):
     assert "$[2]" not in plan
 
 
+def test_named_texts_alone_are_read(spark):
+    sent = [[call([error(explanation=" a\nb ", severity="7")], 1)], [call([error(source_chunk=5)], 1)], [call([error(explanation=None)], 1)],
+            [call([error(), error(target_chunk="absent")], 1)], "x"]
+    df = replies(spark, *sent)
+    for strict in (True, False):
+        all_texts, named = (ju.export_judgements(ju.parse_reports(df, strict, texts)).orderBy("seg_id").collect() for texts in (True, ju.EXPORTED))
+        assert all_texts == named
+    judged = ju.parse_reports(df, texts=ju.EXPORTED)
+    assert judged.schema["errors"].dataType.elementType.names == ["error_type", "severity", "explanation", "severity_sent"]
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "StructField(explanation,BinaryType" in plan and "StructField(source_chunk,VariantType" in plan
+    with pytest.raises(ValueError):
+        ju.parse_reports(df, texts=("severity",))
+
+
 def test_replies_write_the_texts_of_a_segment_once(spark, tmp_path):
     from workloads import inputs
     text = 'a "1"\tb\\\nnïce 中 [x]\n\nlast.'
