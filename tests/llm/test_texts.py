@@ -303,3 +303,31 @@ def test_the_model_comes_to_the_driver_one_order_at_a_time(spark, monkeypatch):
     model = language.fit(rows)
     assert len(fetched) == 2 * language.ORDER and not any("order" in columns for columns in fetched)
     assert model.langs == ["en", "es"] and model.entropies(["the mat", "gato"])[0].argmin(axis=1).tolist() == [0, 1]
+
+
+def test_a_model_holds_every_run_it_has_seen(spark):
+    rng = np.random.default_rng(3)
+    text = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 1_100_000))
+    model = language.fit(spark.createDataFrame([(text, "aa"), ("rare", "bb")], "text string, lang string"))
+    keys = np.unique(np.concatenate([k for t in (text, "rare") for k, _ in language.windows([t], language.letter_codes())]))
+    assert len(keys) > 1_000_000
+    for order in range(1, language.ORDER + 1):
+        assert np.array_equal(model.keys[order - 1], np.unique(keys & np.uint64((1 << language.BITS * order) - 1)))
+
+
+def test_a_model_too_large_for_memory_is_mapped_and_whole(spark, labelled, monkeypatch):
+    even = F.col("doc_id") % 4 < 2
+    columns = ["doc_id", "lang_pred", "score", "entropy", "rejected"]
+
+    def found():
+        return sorted(map(tuple, identify(labelled, labelled.where(even), labelled.where(~even)).select(columns).collect()))
+
+    held, held_model = found(), language.fit(labelled)
+    monkeypatch.setattr(language, "HELD", 0)
+    monkeypatch.setattr(language, "FETCHED", 3000)
+    model = language.fit(labelled)
+    assert all(isinstance(t, np.memmap) for name in language.TABLES for t in getattr(model, name))
+    for name in language.TABLES:
+        assert all(np.array_equal(a, b) for a, b in zip(getattr(held_model, name), getattr(model, name)))
+    assert found() == held
+    assert {r.lang_pred for r in identify(labelled, labelled.limit(0), labelled.limit(0)).collect()} == {"und"}
