@@ -10,6 +10,7 @@ from verbamark.llm import near_vectors as nv
 from verbamark.llm import simhash as sh
 from verbamark.llm.components import connected_components
 from verbamark.llm.near_vectors import near_vectors
+from verbamark.llm import passages
 from verbamark.llm.passages import SPAN, marked, near_passages
 from verbamark.llm.simhash import keep_first, links, simhash_components
 
@@ -150,6 +151,47 @@ def test_near_passages_behind_a_part_and_over_batches(spark, at_once):
         assert r.end - r.start >= 50 and r.similarity >= 0.8
 
 
+@pytest.mark.parametrize("hot", [None, 3])
+def test_every_pair_of_texts_with_a_passage_is_found(spark, monkeypatch, hot):
+    """Also behind many documents that hold a part of it, and where a frequent token is cut into blocks."""
+    if hot:
+        monkeypatch.setattr(passages, "HOT", hot)
+    rng = random.Random(12)
+    passage, rows = words(rng, 60).split(), []
+    for k in range(24):
+        part = passage if k % 3 == 2 else passage[8 - k % 7:52 - k % 7]
+        rows.append((k, f"{words(rng, 60 + k)} {' '.join(part)} {words(rng, 70)}"))
+    whole = [k for k in range(24) if k % 3 == 2]
+    found = near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.other_id) for r in found) == [(a, b) for a in whole for b in whole if b < a]
+
+
+def test_a_passage_inside_a_stretch_that_is_unlike_is_found():
+    """Every third token stands elsewhere in the other text, but for sixty in the middle."""
+    rng = np.random.default_rng(7)
+    a = rng.integers(0, 1 << 40, 400).astype(np.uint64)
+    b = a.copy()
+    other = np.arange(0, 400, 3)
+    other = other[(other < 170) | (other >= 230)]
+    b[other] += np.uint64(1 << 41)
+    b = np.concatenate([b, a[other]])
+    assert len(np.intersect1d(a, b)) / len(np.union1d(a, b)) < 0.8
+    found = list(passages._verified(a, b, 46, 0.8))
+    assert any(start <= 175 and end >= 225 for start, end, *_ in found)
+    for start, end, other_start, other_end, alike in found:
+        x, y = a[start:end], b[other_start:other_end]
+        assert abs(len(np.intersect1d(x, y)) / len(np.union1d(x, y)) - alike) < 1e-9 and alike >= 0.8 and end - start >= 46
+
+
+def test_stretches_are_found_by_places_alone():
+    rng = np.random.default_rng(8)
+    for n in (1, 5, 60, 400):
+        for share in (8 / 9, 0.95, 1 - 1e-6):
+            b, part = rng.integers(0, 30, n).astype(np.uint64), rng.integers(0, 60, 25).astype(np.uint64)
+            order = np.argsort(b, kind="stable")
+            assert passages._found(order, b[order], part, share) == passages._stretch(np.isin(b, part), share)
+
+
 def test_marks_meet_in_every_common_stretch():
     """Two texts that have SPAN tokens in a row in common have a mark in common, wherever the stretch stands."""
     rng = np.random.default_rng(5)
